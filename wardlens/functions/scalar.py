@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlens.functions import codes
 
@@ -94,9 +95,16 @@ def icd9_category(supplement: Column, number: Column) -> Column:
     return F.when(supplement, F.lit(codes.ICD9_SUPPLEMENT)).otherwise(by_range)
 
 
-def lexicographic_le(columns: Sequence[Column], bound: Sequence[object]) -> Column:
+def exact_literal(value, dtype: T.DataType) -> Column:
+    """A collected value as a literal of its own type, whatever the time zones."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def lexicographic_le(columns: Sequence[Column], bound: Sequence[Column]) -> Column:
     """``(c1, c2, ...) <= bound`` spelled with plain comparisons so it can push down."""
-    last = columns[-1] <= F.lit(bound[-1])
+    last = columns[-1] <= bound[-1]
     pairs = list(zip(columns[:-1], bound[:-1]))
-    return reduce(lambda inner, cb: (cb[0] < F.lit(cb[1])) | ((cb[0] == F.lit(cb[1])) & inner),
+    return reduce(lambda inner, cb: (cb[0] < cb[1]) | ((cb[0] == cb[1]) & inner),
                   reversed(pairs), last)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from wardlens.functions.scalar import lexicographic_le, quoted
+from wardlens.functions.scalar import exact_literal, lexicographic_le, quoted
 from wardlens.operators.order import rows_at_ranks
 
 TRAIN, TEST = "train", "test"
@@ -32,7 +32,7 @@ def temporal_split(df: DataFrame, order: Sequence[str], test_fraction: float = 0
         early = cols[0] <= F.lit(train_size(n, test_fraction))
     else:
         n, found = rows_at_ranks(df, order, lambda n: _cut_ranks(n, test_fraction))
-        early = _before_cut(cols, order, found, train_size(n, test_fraction))
+        early = _before_cut(df, order, found, train_size(n, test_fraction))
     return df.withColumn(name, F.when(early, F.lit(TRAIN)).otherwise(F.lit(TEST)))
 
 
@@ -41,7 +41,7 @@ def _cut_ranks(n: int, test_fraction: float) -> list[int]:
     return [1, last, last + 1, n]
 
 
-def _before_cut(cols, order, found, last: int) -> Column:
+def _before_cut(df: DataFrame, order: Sequence[str], found: dict[int, Row], last: int) -> Column:
     edges = [found[r] for r in sorted(found)]
     if any(v is None for row in edges for v in row):
         raise ValueError(f"order columns {list(order)} hold nulls")
@@ -50,7 +50,8 @@ def _before_cut(cols, order, found, last: int) -> Column:
     cut = found[last]
     if found.get(last + 1) == cut:
         raise ValueError(f"order columns {list(order)} tie at the cut; add a tie-break column")
-    return lexicographic_le(cols, list(cut))
+    bound = [exact_literal(cut[c], df.schema[c].dataType) for c in order]
+    return lexicographic_le([quoted(c) for c in order], bound)
 
 
 def split_summary(df: DataFrame, target: str, features: int, name: str = "split") -> DataFrame:
