@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from bindings import sqltext as S
 from bindings.encounters import encounters, raw_encounters, table
 from wardlens.functions import codes
-from wardlens.functions.scalar import map_codes, quoted, range_label, round_half_even
-from wardlens.functions.scalar import at_least
+from wardlens.functions.scalar import (
+    at_least, map_codes, quoted, range_label, round_half_even,
+)
 from wardlens.operators import encode, profile
 from wardlens.operators.dedup import duplicate_count, first_per_key
+from wardlens.operators.features import derive_features
 from wardlens.operators.impute import MedianImputer
 from wardlens.operators.order import ordered_index
 from wardlens.operators.split import feature_names
 from wardlens.plans.prepare import (
-    COMPAT, FULL, Prepare, first_encounters, run_features, run_prepare, run_preprocess,
+    COMPAT, FULL, Prepare, code_columns, first_encounters, run_features, run_prepare,
+    run_preprocess,
 )
 from wardlens.session import durable, scratch_path
 from wardlens.sources.contract import contract_report
@@ -300,9 +303,14 @@ ORACLES = {
     "positive_rate_pct": S.upto("enc", f"SELECT round(avg({S.TARGET_SQL}) * 100, 6) AS positive_rate_pct FROM enc"),
 }
 
+
+
+def feature_of(column):
+    """One derived feature over every encounter: a narrow plan without a shuffle."""
+    return on(lambda df: derive_features(code_columns(df)).select("encounter_id", column))
+
+
 for _c, _e in S.FEATURES.items():
-    def _one(spark, sf_dir, column=_c) -> DataFrame:
-        return q_featured(FULL)(spark, sf_dir).select(codes.ORDER, column)
-    _key = {"num_lab_procedures_per_day": "num_lab_procedures_per_day"}.get(_c, _c)
-    QUERIES[_key] = _one
-    ORACLES[_key] = S.upto("filled", f"SELECT encounter_order, {_e} AS {S.q(_c)} FROM filled")
+    QUERIES[_c] = feature_of(_c)
+    ORACLES[_c] = (S.upto("enc", "") + f", every AS ({S.coded_select('encounter_id', 'enc')}) "
+                   f"SELECT encounter_id, {_e} AS {S.q(_c)} FROM every")

@@ -64,12 +64,12 @@ PLAIN = ["time_in_hospital", "num_lab_procedures", "num_procedures", "num_medica
          "number_outpatient", "number_emergency", "number_inpatient", "num_diagnoses"]
 
 
-def _coded() -> str:
+def coded_select(order: str, source: str) -> str:
     cols = {"race": "race", "gender": GENDER_SQL, "age": AGE_SQL, **{c: c for c in PLAIN},
             "A1Cresult": A1C_SQL, "max_glu_serum": GLUCOSE_SQL, **DOSE_SQL, **FLAG_SQL,
-            "readmitted_lt30": TARGET_SQL, "encounter_order": "CAST(encounter_order AS BIGINT)",
+            "readmitted_lt30": TARGET_SQL, order: f"CAST({order} AS BIGINT)",
             **{f"{c}_cat": icd9_sql(c) for c in codes.DIAGNOSIS_COLUMNS}}
-    return "SELECT " + ", ".join(f"{e} AS {q(c)}" for c, e in cols.items()) + " FROM ordered"
+    return "SELECT " + ", ".join(f"{e} AS {q(c)}" for c, e in cols.items()) + f" FROM {source}"
 
 
 def half_even(expr: str) -> str:
@@ -119,7 +119,7 @@ STAGES = {
     "enc": _null_tokens(),
     "firsts": "SELECT * FROM enc QUALIFY row_number() OVER (PARTITION BY patient_nbr ORDER BY encounter_id) = 1",
     "ordered": "SELECT *, row_number() OVER (ORDER BY encounter_id) AS encounter_order FROM firsts",
-    "coded": _coded(),
+    "coded": coded_select("encounter_order", "ordered"),
     "medians": "SELECT median(age) AS m_age, median(gender) AS m_gender FROM coded",
     "filled": "SELECT coded.* REPLACE (coalesce(age, m_age) AS age, coalesce(gender, m_gender) AS gender) "
               "FROM coded, medians",
