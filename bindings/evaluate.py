@@ -12,6 +12,7 @@ from bindings.clean import q_featured
 from bindings.encounters import table
 from wardlens.functions import codes
 from wardlens.operators import metrics, split
+from wardlens.operators.order import ordered_index
 from wardlens.plans.prepare import FULL
 from wardlens.session import durable, scratch_path
 from wardlens.sources.tables import read_results_ranked, write_results
@@ -68,10 +69,8 @@ def q_write_results(spark, sf_dir) -> DataFrame:
 
 def q_ranked(spark, sf_dir) -> DataFrame:
     """Ranking read back, with each model's place made visible."""
-    ranked = q_write_results(spark, sf_dir)
-    better = ranked.select(F.collect_list(F.struct("auprc", "model")).alias("every"))
-    place = F.expr("1 + size(filter(every, o -> o.auprc > auprc OR (o.auprc = auprc AND o.model < model)))")
-    return ranked.join(F.broadcast(better), F.lit(True)).select(place.alias("place"), "model", "auprc")
+    ranked = q_write_results(spark, sf_dir).withColumn("worse", -F.col("auprc"))
+    return ordered_index(ranked, ["worse", "model"], "place").select("place", "model", "auprc")
 
 
 QUERIES = {
@@ -169,7 +168,7 @@ ORACLES = {
                              "(SELECT label FROM scored ORDER BY proba DESC, id LIMIT 100)",
     "results_summary": _ALL + _STEPS + "SELECT * FROM results",
     "write_results": _ALL + _STEPS + "SELECT * FROM results",
-    "read_results_ranked": _ALL + _STEPS + "SELECT row_number() OVER (ORDER BY auprc DESC, model)::INTEGER AS place, "
+    "read_results_ranked": _ALL + _STEPS + "SELECT row_number() OVER (ORDER BY auprc DESC, model) AS place, "
                                            "model, auprc FROM results",
     "best_model": _ALL + _STEPS + "SELECT * FROM results ORDER BY auprc DESC, model LIMIT 1",
 }

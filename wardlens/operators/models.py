@@ -90,16 +90,19 @@ class BoostedModel:
         return (margin.withColumn("proba", 1 / (1 + F.exp(-2 * F.col("margin"))))
                 .drop("features", "margin"))
 
-    def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        spark = SparkSession.active()
-        spark.range(1).select(F.lit(self.rounds).alias("rounds")).write.mode("overwrite").json(
-            f"{path}/rounds")
-
-    @staticmethod
-    def load(path: str) -> "BoostedModel":
-        rounds = SparkSession.active().read.schema("rounds int").json(f"{path}/rounds").first()
-        return BoostedModel(PipelineModel.load(f"{path}/pipeline"), rounds["rounds"])
+
+def save_model(model: PipelineModel | BoostedModel, path: str) -> None:
+    """Persist a fitted model, replacing what is there."""
+    boosted = isinstance(model, BoostedModel)
+    (model.pipeline if boosted else model).write().overwrite().save(f"{path}/pipeline")
+    rounds = F.lit(model.rounds if boosted else None).cast("int").alias("rounds")
+    SparkSession.active().range(1).select(rounds).write.mode("overwrite").parquet(f"{path}/rounds")
+
+
+def load_model(path: str) -> PipelineModel | BoostedModel:
+    rounds = SparkSession.active().read.schema("rounds int").parquet(f"{path}/rounds").first()["rounds"]
+    pipeline = PipelineModel.load(f"{path}/pipeline")
+    return pipeline if rounds is None else BoostedModel(pipeline, rounds)
 
 
 def fit_boosted(train: DataFrame, names: Sequence[str], label: str, weight: str,
