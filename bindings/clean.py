@@ -9,7 +9,7 @@ from bindings import sqltext as S
 from bindings.encounters import encounters, raw_encounters, table
 from wardlens.functions import codes
 from wardlens.functions.scalar import (
-    at_least, map_codes, quoted, range_label, round_half_even,
+    at_least, code_table, map_codes, quoted, range_label, round_half_even,
 )
 from wardlens.operators import encode, profile
 from wardlens.operators.dedup import duplicate_count, first_per_key
@@ -129,7 +129,7 @@ def impute_customer(spark, sf_dir) -> DataFrame:
 
 
 def impute_encounters(spark, sf_dir) -> DataFrame:
-    df = encounters(spark, sf_dir).transform(encode.encode_age).transform(encode.encode_gender)
+    df = encode.encode(encounters(spark, sf_dir), encode.age_midpoint, encode.gender_code)
     df = df.select("encounter_id", "age", "gender")
     return MedianImputer(["age", "gender"]).fit(df).transform(df)
 
@@ -147,6 +147,10 @@ def one_hot_sql(name, key, column, kept) -> str:
     return f"SELECT {key}, {cols} FROM {name}"
 
 
+def coder(encoder):
+    return lambda df: encode.encode(df, encoder)
+
+
 def pick(transform, *cols):
     return on(lambda df: df.transform(transform).select("encounter_id", *[quoted(c) for c in cols]))
 
@@ -206,15 +210,15 @@ QUERIES = {
     "frame_shape": on(profile.frame_shape),
     "frame_shape_cleaned": lambda s, d: profile.frame_shape(q_cleaned(s, d)),
     "select_features": q_select_features,
-    "encode_age": pick(encode.encode_age, "age"),
-    "encode_gender": pick(encode.encode_gender, "gender"),
-    "encode_flags": pick(encode.encode_flags, "change", "diabetesMed"),
-    "encode_a1c": pick(encode.encode_a1c, "A1Cresult"),
-    "encode_glucose": pick(encode.encode_glucose, "max_glu_serum"),
-    "encode_medications": pick(encode.encode_medications, *S.DRUGS),
+    "encode_age": pick(coder(encode.age_midpoint), "age"),
+    "encode_gender": pick(coder(encode.gender_code), "gender"),
+    "encode_flags": pick(coder(encode.flag_codes), "change", "diabetesMed"),
+    "encode_a1c": pick(coder(encode.a1c_code), "A1Cresult"),
+    "encode_glucose": pick(coder(encode.glucose_code), "max_glu_serum"),
+    "encode_medications": pick(coder(encode.dose_codes), *S.DRUGS),
     "map_codes_orders": lambda s, d: table(s, d, "orders").select(
-        "o_orderkey", map_codes(F.col("o_orderpriority"), PRIORITY, 0, "int").alias("priority"),
-        map_codes(F.col("o_orderstatus"), {"F": 1, "O": 2}, None, "int").alias("status")),
+        "o_orderkey", map_codes(F.col("o_orderpriority"), code_table(PRIORITY), 0, "int").alias("priority"),
+        map_codes(F.col("o_orderstatus"), code_table({"F": 1, "O": 2}), None, "int").alias("status")),
     "icd9_category": pick(encode.categorise_diagnoses, "diag_1_cat", "diag_2_cat", "diag_3_cat"),
     "range_bucket": lambda s, d: table(s, d, "part").select(
         "p_partkey", range_label(F.col("p_size"), SIZES, "other").alias("size_band")),

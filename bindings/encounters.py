@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlens.operators.encode import null_tokens
+from wardlens.session import tune
 
 ENCOUNTERS_SQL = """
 SELECT
@@ -83,4 +84,4 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encounters after missing-value tokens became nulls."""
-    return null_tokens(raw_encounters(spark, sf_dir))
+    return null_tokens(raw_encounters(tune(spark), sf_dir))

@@ -17,18 +17,24 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def null_if_missing(col: Column, tokens: Sequence[str] = codes.MISSING_TOKENS) -> Column:
-    return F.when(~col.isin(*tokens), col)
+def null_if_missing(name: str, tokens: Sequence[str] = codes.MISSING_TOKENS) -> Column:
+    """The text column ``name`` with missing-value tokens turned to null."""
+    listed = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+    column = "`" + name.replace("`", "``") + "`"
+    return F.expr(f"CASE WHEN {column} NOT IN ({listed}) THEN {column} END")
 
 
-def map_codes(col: Column, mapping: Mapping[str, object], default=None,
-              dtype: str = "double") -> Column:
+def code_table(mapping: Mapping[str, object]) -> Column:
+    """A fixed lookup table; it folds to one literal."""
+    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+
+
+def map_codes(col: Column, table: Column, default=None, dtype: str = "double") -> Column:
     """Look a value up in a fixed table; misses and nulls give ``default``.
 
-    The table folds to one literal map. Two dozen spelled-out CASE chains in a
-    stage outgrow the generated-method limit and lose code generation.
+    Two dozen spelled-out CASE chains in a stage would outgrow the size limit
+    of a generated method and lose code generation.
     """
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
     found = F.try_element_at(table, col)
     return (found if default is None else F.coalesce(found, F.lit(default))).cast(dtype)
 
@@ -83,7 +89,8 @@ def code_number(code: Column) -> Column:
     """
     digits = r"[0-9]+(?:_[0-9]+)*"
     shape = rf"(?sU)^{_BLANK}*([+-]?{digits}(?:[eE][+-]?{digits})?){_BLANK}*(?:\..*)?$"
-    return F.replace(F.regexp_extract(code, shape, 1), F.lit("_"), F.lit("")).try_cast("double")
+    found = F.nullif(F.regexp_extract(code, shape, 1), F.lit(""))
+    return F.replace(found, F.lit("_"), F.lit("")).try_cast("double")
 
 
 def icd9_category(supplement: Column, number: Column) -> Column:

@@ -11,46 +11,55 @@ from pyspark.sql import types as T
 
 from wardlens.functions import codes
 from wardlens.functions.scalar import (
-    code_number, equals_flag, icd9_category, is_supplement_code, map_codes, null_if_missing,
-    quoted,
+    code_number, code_table, equals_flag, icd9_category, is_supplement_code, map_codes,
+    null_if_missing, quoted,
 )
 
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = codes.MISSING_TOKENS) -> DataFrame:
     """Turn missing-value tokens into nulls in every text column."""
-    return df.select(*[null_if_missing(quoted(f.name), tokens).alias(f.name)
+    return df.select(*[null_if_missing(f.name, tokens).alias(f.name)
                        if isinstance(f.dataType, T.StringType) else quoted(f.name)
                        for f in df.schema])
 
 
-def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
-    return df.withColumns({c: e for c, e in new.items() if c in df.columns})
+def _lookups(df: DataFrame, columns: Sequence[str], mapping: dict, default=None,
+             dtype: str = "double") -> dict[str, Column]:
+    table = code_table(mapping)
+    have = set(df.columns)
+    return {c: map_codes(quoted(c), table, default, dtype) for c in columns if c in have}
 
 
-def encode_age(df: DataFrame) -> DataFrame:
-    return _replace(df, {"age": map_codes(quoted("age"), codes.AGE_MIDPOINTS)})
+def age_midpoint(df: DataFrame) -> dict[str, Column]:
+    return _lookups(df, ["age"], codes.AGE_MIDPOINTS)
 
 
-def encode_gender(df: DataFrame) -> DataFrame:
-    return _replace(df, {"gender": map_codes(quoted("gender"), codes.GENDER_CODES)})
+def gender_code(df: DataFrame) -> dict[str, Column]:
+    return _lookups(df, ["gender"], codes.GENDER_CODES)
 
 
-def encode_flags(df: DataFrame) -> DataFrame:
-    return _replace(df, {c: map_codes(quoted(c), codes.FLAG_CODES, 0, "tinyint")
-                         for c in ("change", "diabetesMed")})
+def flag_codes(df: DataFrame) -> dict[str, Column]:
+    return _lookups(df, ["change", "diabetesMed"], codes.FLAG_CODES, 0, "tinyint")
 
 
-def encode_a1c(df: DataFrame) -> DataFrame:
-    return _replace(df, {"A1Cresult": map_codes(quoted("A1Cresult"), codes.A1C_CODES, 0, "tinyint")})
+def a1c_code(df: DataFrame) -> dict[str, Column]:
+    return _lookups(df, ["A1Cresult"], codes.A1C_CODES, 0, "tinyint")
 
 
-def encode_glucose(df: DataFrame) -> DataFrame:
-    return _replace(df, {"max_glu_serum":
-                         map_codes(quoted("max_glu_serum"), codes.GLUCOSE_CODES, 0, "tinyint")})
+def glucose_code(df: DataFrame) -> dict[str, Column]:
+    return _lookups(df, ["max_glu_serum"], codes.GLUCOSE_CODES, 0, "tinyint")
 
 
-def encode_medications(df: DataFrame, drugs: Sequence[str] = codes.DRUG_COLUMNS) -> DataFrame:
-    return _replace(df, {c: map_codes(quoted(c), codes.DOSE_CODES, 0, "tinyint") for c in drugs})
+def dose_codes(df: DataFrame, drugs: Sequence[str] = codes.DRUG_COLUMNS) -> dict[str, Column]:
+    return _lookups(df, drugs, codes.DOSE_CODES, 0, "tinyint")
+
+
+ENCODERS = (age_midpoint, gender_code, flag_codes, a1c_code, glucose_code, dose_codes)
+
+
+def encode(df: DataFrame, *encoders) -> DataFrame:
+    """Replace coded columns in one projection; absent columns are skipped."""
+    return df.withColumns({c: e for enc in encoders or ENCODERS for c, e in enc(df).items()})
 
 
 def categorise_diagnoses(df: DataFrame, columns: Sequence[str] = codes.DIAGNOSIS_COLUMNS,

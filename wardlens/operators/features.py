@@ -46,22 +46,22 @@ def complexity(terms: Sequence[Column]) -> Column:
     return round_half_even(reduce(lambda a, b: a + b, terms, F.lit(0.0)), 3)
 
 
-def add_medication_features(df: DataFrame) -> DataFrame:
+def medication_features(df: DataFrame) -> dict[str, Column]:
     drugs = [c for c in codes.DRUG_COLUMNS if c in df.columns]
     new = {"total_medications": total_medications(drugs),
            "num_changed_medications": changed_medications(drugs)}
-    if "insulin" in df.columns:
+    if "insulin" in drugs:
         new["insulin_dose_changed"] = equals_flag(quoted("insulin"), 2)
-    return df.withColumns(new)
+    return new
 
 
-def add_intensity_features(df: DataFrame, stay: str = "time_in_hospital") -> DataFrame:
+def intensity_features(df: DataFrame, stay: str = "time_in_hospital") -> dict[str, Column]:
     days = _day_count(df, stay)
-    return df.withColumns({f"{c}_per_day": per_day(quoted(c), days)
-                           for c in ("num_lab_procedures", "num_procedures") if c in df.columns})
+    return {f"{c}_per_day": per_day(quoted(c), days)
+            for c in ("num_lab_procedures", "num_procedures") if c in df.columns}
 
 
-def add_diagnosis_features(df: DataFrame) -> DataFrame:
+def diagnosis_features(df: DataFrame) -> dict[str, Column]:
     groups = [f"{c}_cat" for c in codes.DIAGNOSIS_COLUMNS if f"{c}_cat" in df.columns]
     new = {}
     if "diag_1_cat" in groups:
@@ -69,26 +69,25 @@ def add_diagnosis_features(df: DataFrame) -> DataFrame:
     if groups:
         new["has_any_diabetes_diag"] = any_equal(groups, DIABETES)
         new["comorbidity_count"] = distinct_categories(groups)
-    return df.withColumns(new)
+    return new
 
 
-def add_complexity(df: DataFrame, diagnoses: str = "num_diagnoses") -> DataFrame:
+def complexity_feature(df: DataFrame, diagnoses: str = "num_diagnoses") -> dict[str, Column]:
     weights = {"total_medications": None, "num_lab_procedures": 0.1, "comorbidity_count": 2,
                diagnoses: None}
     terms = [quoted(c) if w is None else quoted(c) * w
              for c, w in weights.items() if c in df.columns]
-    return df.withColumn("admission_complexity", complexity(terms))
+    return {"admission_complexity": complexity(terms)}
 
 
-def add_flags(df: DataFrame, elderly_from: float = 65) -> DataFrame:
+def flag_features(df: DataFrame, elderly_from: float = 65) -> dict[str, Column]:
     tests = {"is_elderly": ("age", lambda c: c >= elderly_from),
              "a1c_tested": ("A1Cresult", lambda c: c > 0),
              "glucose_tested": ("max_glu_serum", lambda c: c > 0)}
-    return df.withColumns({name: flag(test(quoted(c)))
-                           for name, (c, test) in tests.items() if c in df.columns})
+    return {name: flag(test(quoted(c))) for name, (c, test) in tests.items() if c in df.columns}
 
 
-def add_interactions(df: DataFrame) -> DataFrame:
+def interaction_features(df: DataFrame) -> dict[str, Column]:
     new = {}
     if {"age", "total_medications"} <= set(df.columns):
         new["age_x_num_medications"] = (quoted("age") * quoted("total_medications")).cast("int")
@@ -97,14 +96,15 @@ def add_interactions(df: DataFrame) -> DataFrame:
         visits += [c for c in ["number_emergency"] if c in df.columns]
         total = reduce(lambda a, b: a + b, [quoted(c).cast("int") for c in visits])
         new["prior_admissions"] = total.cast("smallint")
-    return df.withColumns(new)
+    return new
 
 
 def derive_features(df: DataFrame, diagnoses: str = "num_diagnoses") -> DataFrame:
-    """All derived features; a feature whose inputs are absent is left out."""
-    return (df.transform(add_medication_features)
-            .transform(add_intensity_features)
-            .transform(add_diagnosis_features)
-            .transform(add_complexity, diagnoses)
-            .transform(add_flags)
-            .transform(add_interactions))
+    """All derived features; a feature whose inputs are absent is left out.
+
+    Two projections: the second reads counts the first one made.
+    """
+    counted = df.withColumns({**medication_features(df), **intensity_features(df),
+                              **diagnosis_features(df)})
+    return counted.withColumns({**complexity_feature(counted, diagnoses), **flag_features(counted),
+                                **interaction_features(counted)})

@@ -19,29 +19,29 @@ from wardlens.sources.tables import write_stage
 FULL, COMPAT = "full", "compat"
 
 
-def code_columns(raw: DataFrame) -> DataFrame:
-    """All row-wise encodings in one narrow step; ids stay for the dedup."""
+def code_values(raw: DataFrame) -> DataFrame:
+    """Target and code maps; ids stay for the dedup, diagnosis codes stay as text."""
     unused = [c for c in codes.DROPPED_COLUMNS if c not in codes.ID_COLUMNS]
-    return (raw.drop(*unused)
-            .transform(encode.binary_target)
-            .transform(encode.encode_age)
-            .transform(encode.encode_gender)
-            .transform(encode.encode_flags)
-            .transform(encode.encode_a1c)
-            .transform(encode.encode_glucose)
-            .transform(encode.encode_medications)
-            .transform(encode.categorise_diagnoses))
+    return raw.drop(*unused).transform(encode.binary_target).transform(encode.encode)
+
+
+def code_columns(raw: DataFrame) -> DataFrame:
+    """All row-wise encodings."""
+    return raw.transform(code_values).transform(encode.categorise_diagnoses)
 
 
 def first_encounters(raw: DataFrame, slices: int | None = None) -> DataFrame:
     """Coded first encounter of each patient with its dense ``encounter_order``.
 
-    Coding runs before the shuffle, so tiny integers travel instead of text,
-    and the ordered write is the table every later fit pass reads.
+    Code maps run before the shuffle, so tiny integers travel instead of text.
+    Diagnosis codes are shorter than their group names and slow to parse, so
+    they are grouped after it, on the surviving rows only. The ordered write is
+    the table every later fit pass reads.
     """
     require(raw, REQUIRED)
-    coded = first_per_key(code_columns(raw), ["patient_nbr"], ["encounter_id"])
-    return ordered_index(coded, ["encounter_id"], codes.ORDER, slices).drop(*codes.ID_COLUMNS)
+    kept = first_per_key(code_values(raw), ["patient_nbr"], ["encounter_id"])
+    kept = encode.categorise_diagnoses(kept.drop("patient_nbr"))
+    return ordered_index(kept, ["encounter_id"], codes.ORDER, slices).drop("encounter_id")
 
 
 @dataclass(frozen=True)

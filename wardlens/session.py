@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Session setting for wide encoding projections.
+
+    The JVM does not compile methods over 8000 bytes of bytecode. Stages whose
+    generated method is larger run faster as several smaller ones.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, named by ``spark.checkpoint.dir``.
 

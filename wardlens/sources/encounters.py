@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from wardlens.functions import codes
-from wardlens.functions.scalar import null_if_missing, quoted
+from wardlens.functions.scalar import null_if_missing
 
 _LONGS = ("encounter_id", "patient_nbr")
 _COUNTS = (
@@ -33,7 +33,7 @@ def scan_encounters(spark: SparkSession, path: str, columns: list[str] | None =
     names = columns or spark.read.option("header", True).csv(path).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in names])
     raw = spark.read.schema(text).option("header", True).csv(path)
-    return raw.select(*[null_if_missing(quoted(c)).try_cast(column_type(c)).alias(c)
+    return raw.select(*[null_if_missing(c).try_cast(column_type(c)).alias(c)
                         for c in names])
 
 
