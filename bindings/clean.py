@@ -221,7 +221,7 @@ QUERIES = {
         map_codes(F.col("o_orderstatus"), code_table({"F": 1, "O": 2}), None, "int").alias("status")),
     "icd9_category": pick(encode.categorise_diagnoses, "diag_1_cat", "diag_2_cat", "diag_3_cat"),
     "range_bucket": lambda s, d: table(s, d, "part").select(
-        "p_partkey", range_label(F.col("p_size"), SIZES, "other").alias("size_band")),
+        "p_partkey", range_label("p_size", SIZES, "other").alias("size_band")),
     "one_hot": on(lambda df: encode.OneHot(["race"]).fit(df).transform(df.select("encounter_id", "race"))),
     "one_hot_orders": one_hot_table("orders", "o_orderkey", "o_orderpriority"),
     "one_hot_part": one_hot_table("part", "p_partkey", "p_type"),

@@ -19,7 +19,7 @@ def quoted(name: str) -> Column:
 
 def null_if_missing(name: str, tokens: Sequence[str] = codes.MISSING_TOKENS) -> Column:
     """The text column ``name`` with missing-value tokens turned to null."""
-    listed = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+    listed = ", ".join(map(_text, tokens))
     column = "`" + name.replace("`", "``") + "`"
     return F.expr(f"CASE WHEN {column} NOT IN ({listed}) THEN {column} END")
 
@@ -65,12 +65,16 @@ def count_where(conditions: Iterable[Column], dtype: str = "smallint") -> Column
     return total.cast(dtype)
 
 
-def range_label(number: Column, ranges: Mapping[str, tuple[float, float]],
-                default: str) -> Column:
-    """Label of the first closed range that holds the number."""
-    chain = reduce(lambda acc, kv: acc.when(number.between(*kv[1]), F.lit(kv[0])),
-                   ranges.items(), F)
-    return chain.otherwise(F.lit(default))
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def range_label(name: str, ranges: Mapping[str, tuple[float, float]], default: str) -> Column:
+    """Label of the first closed range that holds the number in column ``name``."""
+    column = "`" + name.replace("`", "``") + "`"
+    arms = " ".join(f"WHEN {column} BETWEEN {lo} AND {hi} THEN {_text(label)}"
+                    for label, (lo, hi) in ranges.items())
+    return F.expr(f"CASE {arms} ELSE {_text(default)} END")
 
 
 _BLANK = r"[\s\x1c-\x1f]"  # with (?U): every kind of whitespace, not only blanks
@@ -93,10 +97,10 @@ def code_number(code: Column) -> Column:
     return F.replace(found, F.lit("_"), F.lit("")).try_cast("double")
 
 
-def icd9_category(supplement: Column, number: Column) -> Column:
+def icd9_category(supplement: Column, number: str) -> Column:
     """Broad diagnosis group from the two readings of a code above.
 
-    Pass plain columns: the ranges mention ``number`` many times over.
+    ``number`` names a column, since the ranges mention it many times over.
     """
     by_range = range_label(number, codes.ICD9_RANGES, codes.ICD9_DEFAULT)
     return F.when(supplement, F.lit(codes.ICD9_SUPPLEMENT)).otherwise(by_range)

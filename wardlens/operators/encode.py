@@ -71,7 +71,7 @@ def categorise_diagnoses(df: DataFrame, columns: Sequence[str] = codes.DIAGNOSIS
     present = [c for c in columns if c in df.columns]
     parsed = df.withColumns({f"__{k}_{c}": read(quoted(c)) for c in present
                              for k, read in (("v", is_supplement_code), ("n", code_number))})
-    out = parsed.withColumns({f"{c}_cat": icd9_category(quoted(f"__v_{c}"), quoted(f"__n_{c}"))
+    out = parsed.withColumns({f"{c}_cat": icd9_category(quoted(f"__v_{c}"), f"__n_{c}")
                               for c in present})
     helpers = [f"__{k}_{c}" for c in present for k in "vn"]
     return out.drop(*helpers, *(present if drop_source else ()))

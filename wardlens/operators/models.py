@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression,
 )
@@ -19,7 +19,7 @@ from wardlens.functions.scalar import quoted
 from wardlens.operators.metrics import average_precision, with_prediction
 from wardlens.operators.scale import StandardScale
 from wardlens.operators.trees import margins_at, read_forest, staged_margins
-from wardlens.session import ensure_checkpoint_dir
+from wardlens.session import durable, ensure_checkpoint_dir
 
 _SCALED = "__scaled"
 
@@ -33,6 +33,21 @@ def assemble(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return assembler(names).transform(df)
 
 
+def _fit(train: DataFrame, stages: Sequence[Transformer], estimator: Estimator, label: str,
+         weight: str) -> PipelineModel:
+    """Fit on a written table of vectors.
+
+    Iterative fits submit hundreds of jobs. From the written table each of them
+    ships a short plan and reads three columns, and a lost executor costs a
+    re-read instead of the whole preparation.
+    """
+    vectors = train
+    for stage in stages:
+        vectors = stage.transform(vectors)
+    vectors = vectors.select("features", quoted(label).cast("double").alias(label), quoted(weight))
+    return PipelineModel([*stages, estimator.fit(durable(vectors, "vectors"))])
+
+
 def fit_logistic(train: DataFrame, names: Sequence[str], label: str, weight: str,
                  c: float = 0.1, max_iter: int = 1000) -> PipelineModel:
     """L2-penalised logistic regression on scaled features, intercept free.
@@ -45,8 +60,8 @@ def fit_logistic(train: DataFrame, names: Sequence[str], label: str, weight: str
     fit = LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight,
                              regParam=1.0 / (c * total), elasticNetParam=0.0,
                              standardization=False, maxIter=max_iter, tol=1e-9)
-    return Pipeline(stages=[scaling.stage(_SCALED),
-                            assembler([n + _SCALED for n in names]), fit]).fit(train)
+    stages = [scaling.stage(_SCALED), assembler([n + _SCALED for n in names])]
+    return _fit(train, stages, fit, label, weight)
 
 
 @dataclass(frozen=True)
@@ -114,10 +129,7 @@ def fit_boosted(train: DataFrame, names: Sequence[str], label: str, weight: str,
         stepSize=preset.learning_rate, maxDepth=preset.max_depth,
         subsamplingRate=preset.row_fraction, featureSubsetStrategy=str(preset.column_fraction),
         minInstancesPerNode=preset.min_rows, seed=preset.seed)
-    fitted = Pipeline(stages=[assembler(names), booster]).fit(
-        train.select(*[quoted(n) for n in names], quoted(label).cast("double").alias(label),
-                     quoted(weight)))
-    model = BoostedModel(fitted, preset.rounds)
+    model = BoostedModel(_fit(train, [assembler(names)], booster, label, weight), preset.rounds)
     if preset.patience is None or evaluation is None:
         return model
     curve = round_curve(model, evaluation, label).withColumn("model", F.lit("boosted"))

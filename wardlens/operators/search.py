@@ -83,8 +83,7 @@ def run_trials(trials: DataFrame, train: DataFrame, holdout: DataFrame, names: S
     """Fit every trial on ``train`` and add its average precision on ``holdout``.
 
     The trial table is small by nature (one model fit per row). Fits are
-    distributed jobs; the pool only submits several of them at a time. Pass a
-    persisted ``train``: every fit reads it.
+    distributed jobs; the pool only submits several of them at a time.
     """
     rows = [r.asDict() for r in trials.orderBy(quoted(trial)).collect()]
 

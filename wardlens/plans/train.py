@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -59,6 +58,7 @@ def train_all(featured: DataFrame, presets: Mapping[str, BoostPreset] = DEFAULT_
               max_iter: int = 1000, out: str | None = None) -> TrainReport:
     """Chronological split, three fits, metrics, attributions, best model.
 
+    ``featured`` should be a stage table: it is read once per fit and pass.
     Early stopping watches the last fifth of the training rows, so the test
     rows stay unseen; ``eval_on="test"`` watches the test rows instead.
     ``ratio_before_smote`` keeps the class weight of the rows before
@@ -74,25 +74,19 @@ def train_all(featured: DataFrame, presets: Mapping[str, BoostPreset] = DEFAULT_
             rows = durable(smote_oversample(rows, names, codes.TARGET, codes.ORDER), "smote")
         if ratio is None:
             ratio = class_ratio(rows, codes.TARGET).first()["ratio"]
-        return _weighted(rows, float(ratio)).persist(StorageLevel.MEMORY_AND_DISK)
+        return _weighted(rows, float(ratio))
 
     whole = prepared(train)
-    held: list[DataFrame] = [whole]
     report = TrainReport()
-    try:
-        balanced = balanced_weight(whole, codes.TARGET, "__balanced")
-        report.models[LOGISTIC] = fit_logistic(balanced, names, codes.TARGET, "__balanced",
-                                               max_iter=max_iter)
-        for name, preset in presets.items():
-            rows, watched = whole, test
-            if preset.patience is not None and eval_on == "validation":
-                early, watched = _halves(train, "__inner")
-                rows = prepared(early)
-                held.append(rows)
-            report.models[name] = fit_boosted(rows, names, codes.TARGET, WEIGHT, preset, watched)
-    finally:
-        for df in held:
-            df.unpersist()
+    balanced = balanced_weight(whole, codes.TARGET, "__balanced")
+    report.models[LOGISTIC] = fit_logistic(balanced, names, codes.TARGET, "__balanced",
+                                           max_iter=max_iter)
+    for name, preset in presets.items():
+        rows, watched = whole, test
+        if preset.patience is not None and eval_on == "validation":
+            early, watched = _halves(train, "__inner")
+            rows = prepared(early)
+        report.models[name] = fit_boosted(rows, names, codes.TARGET, WEIGHT, preset, watched)
 
     report.scored = durable(reduce(DataFrame.unionByName, [
         score(m, test, codes.ORDER, codes.TARGET).withColumn("model", F.lit(name))
@@ -127,17 +121,14 @@ def save_report(report: TrainReport, out: str) -> None:
 
 def tune(featured: DataFrame, model: str = "lgb", n_trials: int = 20, seed: int = 42,
          space: Space | None = None, parallelism: int = 2, out: str | None = None):
-    """Random search scored on the chronological holdout: (trials, best row)."""
+    """Random search on a stage table, scored on its chronological holdout: (trials, best row)."""
     names = feature_names(featured, [codes.TARGET, codes.ORDER])
     train, test = _halves(featured, "__split")
     ratio = class_ratio(train, codes.TARGET).first()["ratio"]
-    train = _weighted(train, float(ratio)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ids = featured.sparkSession.range(n_trials).toDF("trial")
-        trials = run_trials(sample_trials(ids, space or SPACES[model], seed), train, test, names,
-                            codes.TARGET, WEIGHT, codes.ORDER, parallelism)
-    finally:
-        train.unpersist()
+    ids = featured.sparkSession.range(n_trials).toDF("trial")
+    trials = run_trials(sample_trials(ids, space or SPACES[model], seed),
+                        _weighted(train, float(ratio)), test, names, codes.TARGET, WEIGHT,
+                        codes.ORDER, parallelism)
     if out:
         write_trials(trials, f"{out}/trials_{model}")
     return trials, best_trial(trials).first()
