@@ -85,7 +85,7 @@ def rows_at_ranks(df: DataFrame, order: Sequence[str], ranks_of,
     found = {}
     if wanted:
         for row in sliced.where(F.col(_POSITION).isin(*wanted)).collect():
-            found[wanted[row[_POSITION]]] = row
+            found[wanted[row[_POSITION]]] = Row(**{c: row[c] for c in order})
     return total, found
 
 
