@@ -54,7 +54,7 @@ def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 
 
 def train_only(spark, sf_dir) -> DataFrame:
-    return split_encounters(spark, sf_dir).where("split = 'train'")
+    return split.temporal_halves(featured(spark, sf_dir), [codes.ORDER], dense=True)[0]
 
 
 def q_results(spark, sf_dir) -> DataFrame:

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from bindings import sqltext as S
 from bindings.encounters import encounters, table
-from bindings.evaluate import featured, rounded, split_encounters, train_only
+from bindings.evaluate import featured, rounded, train_only
 from wardlens.functions import codes
 from wardlens.operators import attribution, models, search
 from wardlens.operators.neighbours import nearest_neighbours
 from wardlens.operators.scale import StandardScale
 from wardlens.operators.smote import smote_oversample
-from wardlens.operators.split import balanced_weight, feature_names, positive_weight
+from wardlens.operators.split import (
+    balanced_weight, feature_names, positive_weight, temporal_halves,
+)
 from wardlens.plans.train import train_all, tune
 from wardlens.session import scratch_path
 from wardlens.sources.tables import read_stage, write_trials
@@ -28,9 +30,8 @@ NOT_FEATURES = [codes.TARGET, codes.ORDER, "split", "weight"]
 
 
 def halves(spark, sf_dir):
-    split = split_encounters(spark, sf_dir)
-    names = feature_names(split, NOT_FEATURES)
-    return split.where("split = 'train'"), split.where("split = 'test'"), names
+    df = featured(spark, sf_dir)
+    return (*temporal_halves(df, [codes.ORDER], dense=True), feature_names(df, NOT_FEATURES))
 
 
 def fitted_logistic(spark, sf_dir):

@@ -12,15 +12,24 @@ from pyspark.sql import types as T
 from wardlens.functions import codes
 
 
+def sql_name(name: str) -> str:
+    """A column name quoted for SQL text; names may hold ``-`` or ``.``."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def quoted(name: str) -> Column:
-    """Column by exact name; names may hold ``-`` or ``.``."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(sql_name(name))
 
 
 def null_if_missing(name: str, tokens: Sequence[str] = codes.MISSING_TOKENS) -> Column:
     """The text column ``name`` with missing-value tokens turned to null."""
-    listed = ", ".join(map(_text, tokens))
-    column = "`" + name.replace("`", "``") + "`"
+    listed = ", ".join(map(sql_text, tokens))
+    column = sql_name(name)
     return F.expr(f"CASE WHEN {column} NOT IN ({listed}) THEN {column} END")
 
 
@@ -65,16 +74,12 @@ def count_where(conditions: Iterable[Column], dtype: str = "smallint") -> Column
     return total.cast(dtype)
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def range_label(name: str, ranges: Mapping[str, tuple[float, float]], default: str) -> Column:
     """Label of the first closed range that holds the number in column ``name``."""
-    column = "`" + name.replace("`", "``") + "`"
-    arms = " ".join(f"WHEN {column} BETWEEN {lo} AND {hi} THEN {_text(label)}"
+    column = sql_name(name)
+    arms = " ".join(f"WHEN {column} BETWEEN {lo} AND {hi} THEN {sql_text(label)}"
                     for label, (lo, hi) in ranges.items())
-    return F.expr(f"CASE {arms} ELSE {_text(default)} END")
+    return F.expr(f"CASE {arms} ELSE {sql_text(default)} END")
 
 
 _BLANK = r"[\s\x1c-\x1f]"  # with (?U): every kind of whitespace, not only blanks

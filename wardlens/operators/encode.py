@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from wardlens.functions import codes
 from wardlens.functions.scalar import (
     code_number, code_table, equals_flag, icd9_category, is_supplement_code, map_codes,
-    null_if_missing, quoted,
+    null_if_missing, quoted, sql_name, sql_text,
 )
 
 
@@ -99,10 +99,10 @@ class OneHotModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """0/1 columns ``<col>_<category>`` after all other columns; null is all zeros."""
-        rest = [quoted(c) for c in df.columns if c not in self.vocabulary]
-        dummies = [equals_flag(quoted(c), v).alias(f"{c}_{v}")
+        rest = [sql_name(c) for c in df.columns if c not in self.vocabulary]
+        dummies = [f"CAST({sql_name(c)} <=> {sql_text(v)} AS TINYINT) AS {sql_name(f'{c}_{v}')}"
                    for c in self.vocabulary for v in self.kept(c)]
-        return df.select(*rest, *dummies)
+        return df.selectExpr(*rest, *dummies)
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions.scalar import quoted
+from wardlens.functions.scalar import quoted, sql_name
 
 _CONSTANT = 1e-12  # a deviation this small against the mean is rounding
 
@@ -22,15 +22,14 @@ class StandardScaleModel:
 
     def expression(self, column: str) -> str:
         mean, scale = self.moments[column]
-        name = "`" + column.replace("`", "``") + "`"
-        return f"(CAST({name} AS DOUBLE) - ({mean!r}D)) / {scale!r}D"
+        return f"(CAST({sql_name(column)} AS DOUBLE) - ({mean!r}D)) / {scale!r}D"
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.expr(self.expression(c)) for c in self.moments})
 
     def stage(self, suffix: str) -> SQLTransformer:
         """The same scaling as a stock pipeline stage that can be saved."""
-        scaled = ", ".join(f"{self.expression(c)} AS `{(c + suffix).replace('`', '``')}`"
+        scaled = ", ".join(f"{self.expression(c)} AS {sql_name(c + suffix)}"
                            for c in self.moments)
         return SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions.scalar import quoted
+from wardlens.functions.scalar import quoted, sql_name
 from wardlens.operators.neighbours import nearest_neighbours
 from wardlens.operators.order import ordered_index
 from wardlens.operators.search import hashed_unit
@@ -23,7 +23,7 @@ def class_sizes(df: DataFrame, label: str) -> dict:
 
 
 def minority_points(df: DataFrame, label: str, key: str, names: Sequence[str], minority) -> DataFrame:
-    vec = F.array(*[quoted(n).cast("double") for n in names])
+    vec = F.expr(f"array({', '.join(f'CAST({sql_name(n)} AS DOUBLE)' for n in names)})")
     return df.where(quoted(label) == F.lit(minority)).select(quoted(key).alias("id"), vec.alias("vec"))
 
 
@@ -38,9 +38,9 @@ def smote_oversample(df: DataFrame, names: Sequence[str], label: str, key: str,
     sizes = class_sizes(df, label)
     minority = min(sizes, key=lambda c: (sizes[c], c))
     few, many = sizes[minority], max(sizes.values())
-    real = df.select(quoted(key), quoted(label),
-                     *[quoted(n).cast("double").alias(n) for n in names],
-                     F.lit(False).alias("synthetic"))
+    real = df.selectExpr(sql_name(key), sql_name(label),
+                         *[f"CAST({sql_name(n)} AS DOUBLE) AS {sql_name(n)}" for n in names],
+                         "false AS synthetic")
     if many == few:
         return real
     if few <= k:
@@ -58,8 +58,9 @@ def smote_oversample(df: DataFrame, names: Sequence[str], label: str, key: str,
         hashed_unit(seed, F.col("s"), F.lit("step")).alias("u"))
     made = wanted.join(pairs, ["nth", "rank"]).select(
         F.zip_with("vec", "neighbour_vec", lambda a, b: a + F.col("u") * (b - a)).alias("x"))
-    synthetic = made.select(
-        F.lit(None).cast(df.schema[key].dataType).alias(key),
-        F.lit(minority).cast(df.schema[label].dataType).alias(label),
-        *[F.col("x")[i].alias(n) for i, n in enumerate(names)], F.lit(True).alias("synthetic"))
+    typed = made.select("x", F.lit(None).cast(df.schema[key].dataType).alias("k"),
+                        F.lit(minority).cast(df.schema[label].dataType).alias("y"))
+    synthetic = typed.selectExpr(f"k AS {sql_name(key)}", f"y AS {sql_name(label)}",
+                                 *[f"x[{i}] AS {sql_name(n)}" for i, n in enumerate(names)],
+                                 "true AS synthetic")
     return real.unionByName(synthetic)

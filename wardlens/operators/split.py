@@ -18,24 +18,35 @@ def train_size(rows: int, test_fraction: float) -> int:
     return int(rows * (1 - test_fraction))
 
 
-def temporal_split(df: DataFrame, order: Sequence[str], test_fraction: float = 0.20,
-                   dense: bool = False, name: str = "split") -> DataFrame:
-    """Label the first rows of the total order ``train`` and the last ``test``.
+def early_rows(df: DataFrame, order: Sequence[str], test_fraction: float = 0.20,
+               dense: bool = False) -> Column:
+    """Condition that holds on the first rows of the total order.
 
-    Only the cut is looked up; the table itself is then labelled by a narrow
-    comparison. With ``dense`` the single order column already counts 1..N, so
-    the cut is arithmetic on its maximum.
+    Only the cut is looked up; the condition is a plain comparison that a scan
+    can use to skip data. With ``dense`` the single order column already counts
+    1..N, so the cut is arithmetic on its maximum.
     """
-    cols = [quoted(c) for c in order]
     if dense:
-        n = df.agg(F.max(cols[0]).alias("n")).first()["n"] or 0
-        early = cols[0] <= F.lit(train_size(n, test_fraction))
-    else:
-        n, found = rows_at_ranks(df, order, lambda n: _cut_ranks(n, test_fraction))
-        early = _before_cut(df, order, found, train_size(n, test_fraction))
+        n = df.agg(F.max(quoted(order[0])).alias("n")).first()["n"] or 0
+        return quoted(order[0]) <= F.lit(train_size(n, test_fraction))
+    n, found = rows_at_ranks(df, order, lambda n: _cut_ranks(n, test_fraction))
+    return _before_cut(df, order, found, train_size(n, test_fraction))
+
+
+def temporal_split(df: DataFrame, order: Sequence[str], test_fraction: float = 0.20,
+                   dense: bool = False, name: str = "split") -> DataFrame:
+    """Label the first rows of the total order ``train`` and the last ``test``."""
+    early = early_rows(df, order, test_fraction, dense)
     return df.withColumn(name, F.when(early, F.lit(TRAIN)).otherwise(F.lit(TEST)))
 
 
+def temporal_halves(df: DataFrame, order: Sequence[str], test_fraction: float = 0.20,
+                    dense: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The training and the test rows as two filters that reach the scan."""
+    early = early_rows(df, order, test_fraction, dense)
+    return df.where(early), df.where(~early)
+
+
 def _cut_ranks(n: int, test_fraction: float) -> list[int]:
     last = train_size(n, test_fraction)
     return [1, last, last + 1, n]

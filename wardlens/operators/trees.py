@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from wardlens.session import scratch_path
 
-MAX_NODES = 4_000_000
+MAX_NODES = 2_000_000  # about 100 MB of arrays
 _CHUNK_CELLS = 2_000_000
 
 

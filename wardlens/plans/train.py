@@ -21,7 +21,7 @@ from wardlens.operators.models import (
 from wardlens.operators.search import SPACES, Space, best_trial, run_trials, sample_trials
 from wardlens.operators.smote import smote_oversample
 from wardlens.operators.split import (
-    TEST, TRAIN, balanced_weight, class_ratio, feature_names, temporal_split,
+    balanced_weight, class_ratio, feature_names, temporal_halves,
 )
 from wardlens.session import durable
 from wardlens.sources.contract import require
@@ -43,9 +43,8 @@ class TrainReport:
     best: Row | None = None
 
 
-def _halves(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    split = temporal_split(df, [codes.ORDER], dense=True, name=name)
-    return (split.where(F.col(name) == TRAIN).drop(name), split.where(F.col(name) == TEST).drop(name))
+def _halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return temporal_halves(df, [codes.ORDER], dense=True)
 
 
 def _weighted(df: DataFrame, ratio: float) -> DataFrame:
@@ -66,7 +65,7 @@ def train_all(featured: DataFrame, presets: Mapping[str, BoostPreset] = DEFAULT_
     """
     require(featured, [codes.TARGET, codes.ORDER], nonempty=True)
     names = feature_names(featured, [codes.TARGET, codes.ORDER])
-    train, test = _halves(featured, "__split")
+    train, test = _halves(featured)
 
     def prepared(rows: DataFrame) -> DataFrame:
         ratio = class_ratio(rows, codes.TARGET).first()["ratio"] if ratio_before_smote else None
@@ -84,7 +83,7 @@ def train_all(featured: DataFrame, presets: Mapping[str, BoostPreset] = DEFAULT_
     for name, preset in presets.items():
         rows, watched = whole, test
         if preset.patience is not None and eval_on == "validation":
-            early, watched = _halves(train, "__inner")
+            early, watched = _halves(train)
             rows = prepared(early)
         report.models[name] = fit_boosted(rows, names, codes.TARGET, WEIGHT, preset, watched)
 
@@ -123,7 +122,7 @@ def tune(featured: DataFrame, model: str = "lgb", n_trials: int = 20, seed: int
          space: Space | None = None, parallelism: int = 2, out: str | None = None):
     """Random search on a stage table, scored on its chronological holdout: (trials, best row)."""
     names = feature_names(featured, [codes.TARGET, codes.ORDER])
-    train, test = _halves(featured, "__split")
+    train, test = _halves(featured)
     ratio = class_ratio(train, codes.TARGET).first()["ratio"]
     ids = featured.sparkSession.range(n_trials).toDF("trial")
     trials = run_trials(sample_trials(ids, space or SPACES[model], seed),

@@ -46,7 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/wardlens/{label}-{uuid.uuid4().hex}"
+    """A fresh path; everything of one application lies in one folder."""
+    app = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/wardlens-{app}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
