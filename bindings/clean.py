@@ -9,7 +9,7 @@ from bindings import sqltext as S
 from bindings.encounters import encounters, raw_encounters, table
 from wardlens.functions import codes
 from wardlens.functions.scalar import (
-    at_least, code_table, map_codes, quoted, range_label, round_half_even,
+    at_least, map_codes, quoted, range_label, round_half_even,
 )
 from wardlens.operators import encode, profile
 from wardlens.operators.dedup import duplicate_count, first_per_key
@@ -217,8 +217,8 @@ QUERIES = {
     "encode_glucose": pick(coder(encode.glucose_code), "max_glu_serum"),
     "encode_medications": pick(coder(encode.dose_codes), *S.DRUGS),
     "map_codes_orders": lambda s, d: table(s, d, "orders").select(
-        "o_orderkey", map_codes(F.col("o_orderpriority"), code_table(PRIORITY), 0, "int").alias("priority"),
-        map_codes(F.col("o_orderstatus"), code_table({"F": 1, "O": 2}), None, "int").alias("status")),
+        "o_orderkey", map_codes("o_orderpriority", PRIORITY, 0, "int").alias("priority"),
+        map_codes("o_orderstatus", {"F": 1, "O": 2}, None, "int").alias("status")),
     "icd9_category": pick(encode.categorise_diagnoses, "diag_1_cat", "diag_2_cat", "diag_3_cat"),
     "range_bucket": lambda s, d: table(s, d, "part").select(
         "p_partkey", range_label("p_size", SIZES, "other").alias("size_band")),

@@ -116,6 +116,8 @@ def test_from_csv_through_every_stage(spark, small, tmp_path):
     assert cleaned.count() == featured.count() == 150
     full = run_prepare(spark, raw, f"{tmp_path}/full")
     assert "comorbidity_count" in full.columns and "comorbidity_count" not in featured.columns
+    held_out = run_prepare(spark, raw, f"{tmp_path}/held_out", fit_on="train")
+    assert held_out.count() == 150 and set(held_out.columns) <= set(full.columns)
 
 
 def test_scan_reads_tokens_and_types(spark, tmp_path):

@@ -66,9 +66,9 @@ def test_clip_keeps_null(spark):
 
 def test_map_miss_is_the_default(spark):
     df = spark.createDataFrame([("Yes",), ("Ch",), ("No",), ("Odd",), (None,)], "c string")
-    table = scalar.code_table(codes.FLAG_CODES)
-    assert [r[0] for r in df.select(scalar.map_codes(F.col("c"), table, 0, "tinyint")).collect()] == [1, 1, 0, 0, 0]
-    assert [r[0] for r in df.select(scalar.map_codes(F.col("c"), table)).collect()] == [1, 1, 0, None, None]
+    table = codes.FLAG_CODES
+    assert [r[0] for r in df.select(scalar.map_codes("c", table, 0, "tinyint")).collect()] == [1, 1, 0, 0, 0]
+    assert [r[0] for r in df.select(scalar.map_codes("c", table)).collect()] == [1, 1, 0, None, None]
 
 
 def test_missing_tokens(spark):

@@ -33,19 +33,17 @@ def null_if_missing(name: str, tokens: Sequence[str] = codes.MISSING_TOKENS) ->
     return F.expr(f"CASE WHEN {column} NOT IN ({listed}) THEN {column} END")
 
 
-def code_table(mapping: Mapping[str, object]) -> Column:
-    """A fixed lookup table; it folds to one literal."""
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+def map_codes(name: str, mapping: Mapping[str, object], default=None,
+              dtype: str = "double") -> Column:
+    """Look column ``name`` up in a fixed table; misses and nulls give ``default``.
 
-
-def map_codes(col: Column, table: Column, default=None, dtype: str = "double") -> Column:
-    """Look a value up in a fixed table; misses and nulls give ``default``.
-
-    Two dozen spelled-out CASE chains in a stage would outgrow the size limit
-    of a generated method and lose code generation.
+    The table folds to one literal. Two dozen spelled-out CASE chains in a
+    stage would outgrow the size limit of a generated method.
     """
-    found = F.try_element_at(table, col)
-    return (found if default is None else F.coalesce(found, F.lit(default))).cast(dtype)
+    table = ", ".join(f"{sql_text(k)}, {v!r}" for k, v in mapping.items())
+    found = f"try_element_at(map({table}), {sql_name(name)})"
+    filled = found if default is None else f"coalesce({found}, {default!r})"
+    return F.expr(f"CAST({filled} AS {dtype})")
 
 
 def flag(condition: Column, dtype: str = "tinyint") -> Column:
@@ -68,10 +66,10 @@ def at_least(col: Column, floor) -> Column:
     return F.when(col < F.lit(floor), F.lit(floor)).otherwise(col)
 
 
-def count_where(conditions: Iterable[Column], dtype: str = "smallint") -> Column:
-    """How many of the conditions hold on the row."""
-    total = reduce(lambda acc, c: acc + flag(c, "int"), conditions, F.lit(0))
-    return total.cast(dtype)
+def count_where(columns: Iterable[str], test: str, dtype: str = "smallint") -> Column:
+    """In how many of the columns ``test`` (such as ``> 0``) holds; null does not count."""
+    terms = [f"CAST(coalesce({sql_name(c)} {test}, false) AS INT)" for c in columns]
+    return F.expr(f"CAST({' + '.join(terms) or '0'} AS {dtype})")
 
 
 def range_label(name: str, ranges: Mapping[str, tuple[float, float]], default: str) -> Column:

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from wardlens.functions import codes
 from wardlens.functions.scalar import (
-    code_number, code_table, equals_flag, icd9_category, is_supplement_code, map_codes,
-    null_if_missing, quoted, sql_name, sql_text,
+    code_number, equals_flag, icd9_category, is_supplement_code, map_codes, null_if_missing,
+    quoted, sql_name, sql_text,
 )
 
 
@@ -25,9 +25,8 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = codes.MISSING_TOKENS) ->
 
 def _lookups(df: DataFrame, columns: Sequence[str], mapping: dict, default=None,
              dtype: str = "double") -> dict[str, Column]:
-    table = code_table(mapping)
     have = set(df.columns)
-    return {c: map_codes(quoted(c), table, default, dtype) for c in columns if c in have}
+    return {c: map_codes(c, mapping, default, dtype) for c in columns if c in have}
 
 
 def age_midpoint(df: DataFrame) -> dict[str, Column]:

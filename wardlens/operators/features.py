@@ -25,11 +25,11 @@ def per_day(amount: Column, days: Column) -> Column:
 
 
 def total_medications(drugs: Sequence[str]) -> Column:
-    return count_where(quoted(c) > 0 for c in drugs)
+    return count_where(drugs, "> 0")
 
 
 def changed_medications(drugs: Sequence[str]) -> Column:
-    return count_where(quoted(c) == 2 for c in drugs)
+    return count_where(drugs, "= 2")
 
 
 def any_equal(columns: Sequence[str], value: str) -> Column:

@@ -12,11 +12,13 @@ from wardlens.operators.dedup import first_per_key
 from wardlens.operators.features import derive_features
 from wardlens.operators.impute import MedianImputer, MedianImputerModel
 from wardlens.operators.order import ordered_index
+from wardlens.operators.split import TRAIN, temporal_halves
 from wardlens.sources.contract import require
 from wardlens.sources.encounters import REQUIRED, scan_encounters
 from wardlens.sources.tables import write_stage
 
 FULL, COMPAT = "full", "compat"
+ALL_ROWS = "all"
 
 
 def code_values(raw: DataFrame) -> DataFrame:
@@ -101,8 +103,13 @@ def run_features(spark: SparkSession, source: str, target: str,
 
 
 def run_prepare(spark: SparkSession, source: str, target: str, mode: str = FULL,
-                diagnoses: str = "num_diagnoses") -> DataFrame:
-    """CSV in, featured stage out, in either mode."""
+                diagnoses: str = "num_diagnoses", fit_on: str = ALL_ROWS) -> DataFrame:
+    """CSV in, featured stage out, in either mode.
+
+    Medians and vocabulary come from all rows, or with ``fit_on="train"`` from
+    the rows before the chronological cut only, so the test rows stay unseen.
+    """
     first = first_encounters(require(scan_encounters(spark, source), REQUIRED, nonempty=True))
-    write_stage(Prepare(mode, diagnoses).fit(first).featured(first), target)
+    learnt = temporal_halves(first, [codes.ORDER], dense=True)[0] if fit_on == TRAIN else first
+    write_stage(Prepare(mode, diagnoses).fit(learnt).featured(first), target)
     return spark.read.parquet(target)
