@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression,
 )
@@ -33,9 +33,9 @@ def assemble(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return assembler(names).transform(df)
 
 
-def _fit(train: DataFrame, stages: Sequence[Transformer], estimator: Estimator, label: str,
-         weight: str) -> PipelineModel:
-    """Fit on a written table of vectors.
+def training_vectors(train: DataFrame, stages: Sequence[Transformer], label: str,
+                     weight: str) -> DataFrame:
+    """Features, label and weight as a written table.
 
     Iterative fits submit hundreds of jobs. From the written table each of them
     ships a short plan and reads three columns, and a lost executor costs a
@@ -44,8 +44,8 @@ def _fit(train: DataFrame, stages: Sequence[Transformer], estimator: Estimator,
     vectors = train
     for stage in stages:
         vectors = stage.transform(vectors)
-    vectors = vectors.select("features", quoted(label).cast("double").alias(label), quoted(weight))
-    return PipelineModel([*stages, estimator.fit(durable(vectors, "vectors"))])
+    return durable(vectors.select("features", quoted(label).cast("double").alias(label),
+                                  quoted(weight)), "vectors")
 
 
 def fit_logistic(train: DataFrame, names: Sequence[str], label: str, weight: str,
@@ -61,7 +61,7 @@ def fit_logistic(train: DataFrame, names: Sequence[str], label: str, weight: str
                              regParam=1.0 / (c * total), elasticNetParam=0.0,
                              standardization=False, maxIter=max_iter, tol=1e-9)
     stages = [scaling.stage(_SCALED), assembler([n + _SCALED for n in names])]
-    return _fit(train, stages, fit, label, weight)
+    return PipelineModel([*stages, fit.fit(training_vectors(train, stages, label, weight))])
 
 
 @dataclass(frozen=True)
@@ -121,15 +121,22 @@ def load_model(path: str) -> PipelineModel | BoostedModel:
 
 
 def fit_boosted(train: DataFrame, names: Sequence[str], label: str, weight: str,
-                preset: BoostPreset, evaluation: DataFrame | None = None) -> BoostedModel:
-    """Boosted trees; with patience, keep the best round on the evaluation rows."""
+                preset: BoostPreset, evaluation: DataFrame | None = None,
+                vectors: DataFrame | None = None) -> BoostedModel:
+    """Boosted trees; with patience, keep the best round on the evaluation rows.
+
+    ``vectors`` are the written training vectors when several fits share them.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     booster = GBTClassifier(
         featuresCol="features", labelCol=label, weightCol=weight, maxIter=preset.rounds,
         stepSize=preset.learning_rate, maxDepth=preset.max_depth,
         subsamplingRate=preset.row_fraction, featureSubsetStrategy=str(preset.column_fraction),
         minInstancesPerNode=preset.min_rows, seed=preset.seed)
-    model = BoostedModel(_fit(train, [assembler(names)], booster, label, weight), preset.rounds)
+    stage = assembler(names)
+    if vectors is None:
+        vectors = training_vectors(train, [stage], label, weight)
+    model = BoostedModel(PipelineModel([stage, booster.fit(vectors)]), preset.rounds)
     if preset.patience is None or evaluation is None:
         return model
     curve = round_curve(model, evaluation, label).withColumn("model", F.lit("boosted"))

@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 
 from wardlens.functions.scalar import quoted
 from wardlens.operators.metrics import average_precision
-from wardlens.operators.models import BoostPreset, fit_boosted, score
+from wardlens.operators.models import (
+    BoostPreset, assembler, fit_boosted, score, training_vectors,
+)
 
 _UNIT = float(1 << 53)
 
@@ -83,12 +85,14 @@ def run_trials(trials: DataFrame, train: DataFrame, holdout: DataFrame, names: S
     """Fit every trial on ``train`` and add its average precision on ``holdout``.
 
     The trial table is small by nature (one model fit per row). Fits are
-    distributed jobs; the pool only submits several of them at a time.
+    distributed jobs on one shared table of vectors; the pool only submits
+    several of them at a time.
     """
+    vectors = training_vectors(train, [assembler(names)], label, weight)
     rows = [r.asDict() for r in trials.orderBy(quoted(trial)).collect()]
 
     def value_of(params: dict) -> float:
-        model = fit_boosted(train, names, label, weight, preset_of(params))
+        model = fit_boosted(train, names, label, weight, preset_of(params), vectors=vectors)
         return average_precision(score(model, holdout, key, label)).first()["auprc"]
 
     with ThreadPool(parallelism) as pool:
