@@ -16,17 +16,17 @@ from tokenizers import Tokenizer
 
 from wardlens.llm.common import map_text
 
-_CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 _NONE = np.iinfo(np.int32).max
-_PIECE_BYTES = 4 << 20
+_PIECE_BYTES = 1 << 20
 
 # Characters for which lower case, composition and character classes need the
 # full Unicode rules, or the start of a special token's name.
-_UNUSUAL = re.compile("[\u0130\u0180-\U0010ffff]|<\\|")
+_UNUSUAL = re.compile("[\u0130\u0180-\U0010ffff]")
 _LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f"
 _DIGITS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _PLAIN_WORDS = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_DIGITS}]"
                           f"|[^{_LETTERS}{_DIGITS}\\t-\\r \x85\xa0]+")
+_SIGN_BEFORE_STOP = re.compile(f"[^{_LETTERS}{_DIGITS}\\t-\\r \x85\xa0][.,]")
 
 
 def byte_letters() -> list[str]:
@@ -36,6 +36,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+def _unusual(text: str) -> bool:
+    return "<|" in text or _UNUSUAL.search(text) is not None
+
+
 def plain_words(text: str) -> list[str]:
     """Words of text without unusual characters."""
     return _PLAIN_WORDS.findall(text.lower())
@@ -51,7 +55,13 @@ class WordSplit:
     def __init__(self, path: str):
         tokenizer = Tokenizer.from_file(path)
         self._normal, self._split = tokenizer.normalizer, tokenizer.pre_tokenizer
-        self._byte = {c: b for b, c in enumerate(byte_letters())}
+        letters = byte_letters()
+        self._byte = {c: b for b, c in enumerate(letters)}
+        self._letter = {b: c for b, c in enumerate(letters) if chr(b) != c}
+
+    def spelled(self, word: str) -> str:
+        """A word as the model reads it, one letter per byte."""
+        return word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._letter)
 
     def words(self, text: str) -> list[str]:
         found = self._split.pre_tokenize_str(self._normal.normalize_str(text))
@@ -141,29 +151,38 @@ class WordBpe:
         return " ".join([names[i] for i in ids if 0 <= i < len(names) and names[i]])
 
 
-class WordEncoder:
-    """Encodes texts word by word; each distinct word is worked out once.
+class ChunkEncoder(dict):
+    """Ids of texts, chunk by chunk; the dictionary holds the packed ids of each chunk met.
 
-    ``words`` encodes a list of words, ``chunk`` lists the words of a run with
-    unusual characters, special tokens given as their ids in bytes: no word
-    reaches over ASCII white space, so such a run stands on its own. The caches
-    are emptied when full.
+    A chunk is a run without ASCII white space. No word reaches over white
+    space, so chunks stand on their own. Stops and commas are set apart first
+    where no other sign precedes one, so most chunks are plain words.
+    ``words`` encodes a list of words, ``special`` lists the words of a chunk
+    with unusual characters, special tokens given as packed ids. With ``batch``
+    all new chunks of a group of texts are worked out together, else one by
+    one. The dictionary is emptied when it is full.
     """
 
     def __init__(self, words: Callable[[Sequence[str]], list[bytes]],
-                 chunk: Callable[[str], list[str | bytes]], limit: int = 500_000):
-        self._words, self._chunk, self._limit = words, chunk, limit
-        self._of_word: dict[str | bytes, bytes] = {}
-        self._of_chunk: dict[str, list[str | bytes]] = {}
+                 special: Callable[[str], list[str | bytes]], batch: bool, limit: int = 600_000):
+        super().__init__()
+        self._words, self._special, self._batch, self._limit = words, special, batch, limit
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian int32; none for null."""
+        """Packed ids of each text; none for null."""
         out = []
         for group in _groups(texts):
-            lists = [self._split(t) for t in group]
-            self._learn(set(chain.from_iterable(lists)))
-            get = self._of_word.__getitem__
-            out += [b"".join(map(get, words)) for words in lists]
+            lists = [_chunks(t) for t in group]
+            if self._batch:
+                wanted = set(chain.from_iterable(lists))
+                missing = wanted - self.keys()
+                if len(missing) + len(self) > self._limit:
+                    self.clear()
+                    missing = wanted
+                self._fill(list(missing))
+            elif len(self) > self._limit:
+                self.clear()
+            out += [b"".join(map(self.__getitem__, chunks)) for chunks in lists]
         joined, at = [], 0
         for t in texts:
             n = len(_pieces(t))
@@ -171,30 +190,34 @@ class WordEncoder:
             at += n
         return joined
 
-    def _split(self, text: str) -> list[str | bytes]:
-        if not _UNUSUAL.search(text):
-            return plain_words(text)
-        if len(self._of_chunk) > self._limit:
-            self._of_chunk.clear()
-        words: list[str | bytes] = []
-        for c in _CHUNK.findall(text):
-            if not _UNUSUAL.search(c):
-                words += plain_words(c)
-            else:
-                found = self._of_chunk.get(c)
-                if found is None:
-                    found = self._of_chunk[c] = self._chunk(c)
-                words += found
-        return words
-
-    def _learn(self, wanted: set[str | bytes]) -> None:
-        missing = wanted - self._of_word.keys()
-        if len(missing) + len(self._of_word) > self._limit:
-            self._of_word.clear()
-            missing = wanted
-        new = [w for w in missing if isinstance(w, str)]
-        self._of_word.update(zip(new, self._words(new)))
-        self._of_word.update((w, w) for w in missing if isinstance(w, bytes))
+    def _split(self, chunk: bytes) -> list[str | bytes]:
+        text = chunk.decode()
+        return self._special(text) if _unusual(text) else plain_words(text)
+
+    def _fill(self, chunks: list[bytes]) -> None:
+        lists = [self._split(c) for c in chunks]
+        words = list({w for ws in lists for w in ws if isinstance(w, str)})
+        of = dict(zip(words, self._words(words)))
+        for c, ws in zip(chunks, lists):
+            self[c] = b"".join([of[w] if isinstance(w, str) else w for w in ws])
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        if chunk.isalpha():  # ASCII letters
+            value = self[chunk] = self._words([chunk.decode().lower()])[0]
+            return value
+        words = self._split(chunk)
+        plain = iter(self._words([w for w in words if isinstance(w, str)]))
+        value = self[chunk] = b"".join([next(plain) if isinstance(w, str) else w for w in words])
+        return value
+
+
+def _chunks(text: str) -> list[bytes]:
+    if _unusual(text):
+        return text.encode().split()
+    text = text.lower()
+    if not _SIGN_BEFORE_STOP.search(text):
+        text = text.replace(".", " .").replace(",", " ,")
+    return text.encode().split()
 
 
 def _pieces(text: str | None) -> list[str]:
@@ -223,20 +246,20 @@ def _groups(texts: Sequence[str | None]) -> Iterator[list[str]]:
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> tuple[WordBpe, WordEncoder]:
+def load(path: str) -> tuple[WordBpe, ChunkEncoder]:
     """Vocabulary and encoder of a file, kept for the life of the Python worker."""
     bpe, split = WordBpe(path), WordSplit(path)
 
-    def chunk(s: str) -> list[str | bytes]:
+    def special(text: str) -> list[str | bytes]:
         out: list[str | bytes] = []
-        for part in bpe.segments(s):
+        for part in bpe.segments(text):
             if part in bpe.special:
                 out.append(np.array([bpe.special[part]], "<i4").tobytes())
             else:
                 out += split.words(part)
         return out
 
-    return bpe, WordEncoder(bpe.encode_words, chunk)
+    return bpe, ChunkEncoder(bpe.encode_words, special, batch=True)
 
 
 def _id_lists(encoded: Sequence[bytes]) -> pa.Array:

@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from wardlens.functions.scalar import quoted
-from wardlens.llm.bpe import WordEncoder, WordSplit
+from wardlens.llm.bpe import ChunkEncoder, WordSplit
 from wardlens.llm.common import key_bounds, map_text, shuffle_partitions
 
 MAGIC = b"EFTK"
@@ -149,42 +150,35 @@ def segments(data: bytes) -> Iterator[Segment]:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, width: int) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
-
     tokenizer, split = Tokenizer.from_file(path), WordSplit(path)
-    special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+    model, code = tokenizer.model, {2: "H", 4: "I"}[width]
+    names = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
 
-    def words(batch):
-        return [array.array("i", e.ids).tobytes()
-                for e in tokenizer.encode_batch_fast(list(batch), add_special_tokens=False)]
+    def words(found):
+        return [array.array(code, [t.id for t in model.tokenize(split.spelled(w))]).tobytes() for w in found]
 
-    def chunk(s):
-        if any(x in s for x in special):
-            return words([s])
-        return split.words(s)
+    def special(text):
+        if any(n in text for n in names):
+            return [array.array(code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()]
+        return split.words(text)
 
-    return WordEncoder(words, chunk)
+    return ChunkEncoder(words, special, batch=False)
 
 
 def encode_ids(df: DataFrame, text: str, path: str, end_id: int, width: int, out: str = "ids") -> DataFrame:
     """Append the ids of the tokenizer file, ``end_id`` last, packed at ``width`` bytes each.
 
-    The library encodes each distinct word once; words never reach over the
-    split rules, so the ids are those of the whole text.
+    The library encodes each distinct word once and remembers it; no word
+    reaches over the split rules, so the ids are those of the whole text.
     """
 
     def make():
-        encoder, end = _encoder(path), np.array([end_id], f"<u{width}").tobytes()
-
-        def work(texts):
-            packed = [np.frombuffer(e, "<i4").astype(f"<u{width}").tobytes() + end for e in encoder.encode(texts)]
-            return [pa.array(packed, pa.binary())]
-
-        return work
+        encoder, end = _encoder(path, width), np.array([end_id], f"<u{width}").tobytes()
+        return lambda texts: [pa.array([e + end for e in encoder.encode(texts)], pa.binary())]
 
-    return map_text(df, text, make, [T.StructField(out, T.BinaryType())])
+    return map_text(df, text, make, [T.StructField(out, T.BinaryType())], limit=1 << 20)
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str, *, key: str = "doc_id", text: str = "text",
