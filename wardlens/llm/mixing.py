@@ -253,7 +253,8 @@ class Mix:
         last = F.expr(f"(start + size - 1) div {self._block}")
         pieces = rows.select("number", "start", "size",
                              F.explode(F.sequence(F.expr(f"start div {self._block}"), last)).alias("block"))
-        joined = pieces.join(self.draws, ["number", "block"])
+        # The drawn table looks small to the planner but grows with the input: no broadcast.
+        joined = pieces.hint("merge").join(self.draws.hint("merge"), ["number", "block"])
         low = F.greatest(F.col("start"), F.col("block") * self._block) - F.col("start")
         high = F.least(F.col("size"), F.col("block") * self._block + F.col("words") - F.col("start"))
         return (joined.select("shard", "slot", "turn", "number", "start", low.alias("low"), high.alias("high"))
@@ -265,7 +266,7 @@ class Mix:
         uses = self.spans().groupBy("number", "start").agg(F.sum(F.col("high") - F.col("low")).alias("words"))
         # A row without words shares its start with the next one, which has some.
         has = F.when(rows["size"] > 0, rows["start"])
-        joined = rows.join(uses.withColumnRenamed("number", "n").withColumnRenamed("start", "s"),
+        joined = rows.join(uses.withColumnsRenamed({"number": "n", "start": "s"}).hint("merge"),
                            (rows["number"] == F.col("n")) & (has == F.col("s")), "left")
         return joined.select(*[F.col(k).alias(c) for k, c in zip(self._keys, self._order)],
                              "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken"))
