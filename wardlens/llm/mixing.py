@@ -139,7 +139,7 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
     return out.astype(np.int64)
 
 
-def stream(sized: DataFrame, order: Sequence[str], rows_per_task: int = 100_000) -> DataFrame:
+def stream(sized: DataFrame, order: Sequence[str], rows_per_task: int = 5_000) -> DataFrame:
     """Add ``start``: where a row's ``size`` words lie in the stream of its ``source``.
 
     Rows of a source are dealt by hash into groups of about ``rows_per_task``
