@@ -81,14 +81,14 @@ class Lexicon:
 
 
 def _weighted_hits(folded: str, automaton: ahocorasick.Automaton) -> tuple[float, int]:
-    """Sum of the weights of hits outside exceptions, the longest per word start; and their number."""
+    """Sum of the weights of hits outside exceptions, the heaviest per word start; and their number."""
     hits: dict[int, tuple[int, float]] = {}
     safe = []
     for end, (length, weight) in automaton.iter(folded):
         start = end - length + 1
         if weight is None:
             safe.append((start, end))
-        elif length >= hits.get(start, (0, 0.0))[0]:
+        elif weight >= hits.get(start, (0, 0.0))[1]:
             hits[start] = (length, weight)
     if safe:
         hits = {s: h for s, h in hits.items() if not any(a <= s and s + h[0] - 1 <= b for a, b in safe)}
@@ -105,52 +105,68 @@ def features(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
     return float(np.log1p(weight)), float(np.log1p(per_hundred)), n
 
 
-def _terms(text: str) -> set[str]:
-    """Whole words and their starts of 4 to 6 letters."""
-    words = {w for w in fold(text).split() if len(w) >= 4}
-    return {w[:k] for w in words for k in (4, 5, 6)} | {w[:24] for w in words}
+def _terms(text: str) -> dict[str, str]:
+    """Whole words and their starts of 4 to 6 letters, each with the word before its first place."""
+    words = fold(text).split()
+    found: dict[str, str] = {}
+    for before, w in zip(["", *words], words):
+        if len(w) >= 4:
+            for t in {w[:4], w[:5], w[:6], w[:24]}:
+                found.setdefault(t, before)
+    return found
 
 
 def learn_terms(rows: DataFrame, text: str, exceptions: Sequence[str] = EXCEPTIONS,
                 seeds: Sequence[str] = SEEDS) -> dict[str, float]:
     """Terms over-represented in toxic rows, weighted by log odds, and the seeds.
 
-    Terms are counted once a document, per task before the shuffle. A term is
-    kept where so many toxic rows without clean ones would be unlikely for any
-    of the terms tried; a longer term goes where its start is kept.
+    A term counts once per clean document, and per toxic document once for each
+    different word before it: copies and shared passages of toxic documents
+    repeat the same neighbours, so their harmless words gather no weight. A
+    term is kept where so many toxic places without clean documents would be
+    unlikely for any of the terms tried. A start goes where one longer term has
+    nearly all of its places, else the longer terms go.
     """
     source = rows.select(quoted(text).alias("text"), F.col("label"))
-
-    def count(batches):
-        toxic, clean = Counter(), Counter()
-        for batch in batches:
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (toxic if y else clean).update(_terms(t or ""))
-        names = list(toxic)  # terms of clean rows alone can't be kept, but other tasks' terms need their counts
-        rest = [t for t in clean if t not in toxic]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*names, *rest], pa.string()), pa.array([*toxic.values(), *[0] * len(rest)], pa.int64()),
-             pa.array([clean.get(t, 0) for t in (*names, *rest)], pa.int64())], ["term", "toxic", "clean"])
-
     sizes = source.agg(F.sum("label").alias("toxic"), F.count("label").alias("n")).first()
     n_toxic, n = int(sizes["toxic"] or 0), int(sizes["n"])
     weights = {fold(s).strip(): _SEED_WEIGHT for s in seeds}
     if not n_toxic or n_toxic == n:
         return weights
-    totals = (source.mapInArrow(count, "term string, toxic long, clean long").groupBy("term")
-              .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic > 0"))
-    surprise = -np.log(n_toxic / n)
-    tried = totals.count()
-    odds = F.col("toxic") * F.lit(float(surprise)) - F.col("clean") * F.lit(4.0 * float(surprise))
-    kept = totals.where(odds >= float(np.log(max(tried, 2)))).collect()  # significant terms of the bounded sample
-    starts: set[str] = set()
-    for r in sorted(kept, key=lambda r: (len(r["term"]), r["term"])):
-        term = r["term"]
-        if any(term[:k] in starts for k in range(4, len(term))):
-            continue
-        starts.add(term)
-        log_odds = np.log((r["toxic"] + 0.5) / (n_toxic + 1)) - np.log((r["clean"] + 0.5) / (n - n_toxic + 1))
-        weights[term] = float(min(8.0, log_odds))
+
+    def places(batches):
+        for batch in batches:
+            found = [x for t in batch.column(0).to_pylist() for x in _terms(t or "").items()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()),
+                                              pa.array([x[1] for x in found], pa.string())], ["term", "before"])
+
+    def count(batches):
+        seen: Counter = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                seen.update(_terms(t or "").keys())
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                                         ["of", "clean"])
+
+    toxic = durable(source.where("label > 0").mapInArrow(places, "term string, before string").distinct()
+                    .groupBy("term").agg(F.count(F.lit(1)).alias("toxic")), "toxic-terms")
+    clean = (source.where("label = 0").mapInArrow(count, "of string, clean long")
+             .groupBy("of").agg(F.sum("clean").alias("clean")))
+    surprise = float(-np.log(n_toxic / n))
+    least = float(np.log(max(toxic.count(), 2)))
+    likely = toxic.where(F.col("toxic") * surprise >= least)
+    odds = F.col("toxic") * F.lit(surprise) - F.col("clean") * F.lit(4 * surprise)
+    rows_kept = (likely.join(clean, F.col("term") == F.col("of"), "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
+                 .where(odds >= least).select("term", "toxic", "clean").collect())  # few of a bounded sample's terms
+    kept = {r["term"]: (r["toxic"], r["clean"]) for r in rows_kept}
+    for term in sorted(kept, key=len, reverse=True):
+        for k in (4, 5, 6):
+            if k < len(term) and term in kept and term[:k] in kept and kept[term][0] >= 0.9 * kept[term[:k]][0]:
+                del kept[term[:k]]
+    for term, (t, c) in kept.items():
+        if not any(term[:k] in kept for k in range(4, len(term))):
+            log_odds = np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n - n_toxic + 1))
+            weights[term] = float(np.clip(log_odds, 0.0, 8.0))
     return weights
 
 
