@@ -61,8 +61,7 @@ def q_scan_stage(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "featured")
     df = q_featured(FULL)(spark, sf_dir)
     write_stage(df, path)
-    return (read_stage(spark, path, df.schema).where("is_elderly = 1")
-            .select(codes.ORDER, codes.TARGET, "admission_complexity"))
+    return read_stage(spark, path, df.schema)
 
 
 def q_write_stage(spark, sf_dir) -> DataFrame:
@@ -248,8 +247,7 @@ COMPAT_SQL = S.upto("cleaned", f"SELECT *, {S.feature_list(S.FEATURES_COMPAT)} F
 
 ORACLES = {
     "scan_encounters": S.upto("enc", "SELECT * FROM enc"),
-    "scan_stage": S.upto("featured", "SELECT encounter_order, readmitted_lt30, admission_complexity "
-                                     "FROM featured WHERE is_elderly = 1"),
+    "scan_stage": FEATURED_SQL,
     "write_stage": S.upto("cleaned", "SELECT * FROM cleaned"),
     "schema_contract": _contract_sql(),
     "first_per_key": S.upto("firsts", "SELECT * FROM firsts"),

@@ -21,11 +21,7 @@ from wardlens.session import scratch_path
 from wardlens.sources.tables import read_stage, write_trials
 
 SCALED = ["num_lab_procedures", "num_medications", "time_in_hospital", "number_inpatient"]
-SMALL_A = models.BoostPreset(rounds=6, max_depth=3, patience=2)
-SMALL_B = models.BoostPreset(rounds=4, max_depth=4, min_rows=20)
-SMALL_SPACE = {"n_estimators": search.IntRange(2, 4, 2), "learning_rate": search.FloatRange(1e-2, 0.2, True),
-               "max_depth": search.IntRange(2, 3), "min_child_samples": search.IntRange(5, 100),
-               "subsample": search.FloatRange(0.5, 1.0), "colsample_bytree": search.FloatRange(0.5, 1.0)}
+_FITTED: dict[tuple, tuple] = {}
 NOT_FEATURES = [codes.TARGET, codes.ORDER, "split", "weight"]
 
 
@@ -41,9 +37,13 @@ def fitted_logistic(spark, sf_dir):
 
 
 def fitted_boosted(spark, sf_dir, preset):
-    train, test, names = halves(spark, sf_dir)
-    train = positive_weight(train, codes.TARGET)
-    return models.fit_boosted(train, names, codes.TARGET, "weight", preset, test), test, names
+    """A preset's fit on a table; the queries that ask for the same one share it."""
+    fit = (spark.sparkContext.applicationId, sf_dir, preset)
+    if fit not in _FITTED:
+        train, test, names = halves(spark, sf_dir)
+        train = positive_weight(train, codes.TARGET)
+        _FITTED[fit] = (models.fit_boosted(train, names, codes.TARGET, "weight", preset, test), test, names)
+    return _FITTED[fit]
 
 
 def q_scale(spark, sf_dir) -> DataFrame:
@@ -81,7 +81,7 @@ def q_boosted(preset):
 
 def q_save_model(spark, sf_dir) -> DataFrame:
     """Scores of the fitted and of the reloaded model, compared row by row."""
-    model, test, _ = fitted_boosted(spark, sf_dir, SMALL_A)
+    model, test, _ = fitted_boosted(spark, sf_dir, models.BOOSTED_A)
     path = scratch_path(spark, "model")
     models.save_model(model, path)
     before = models.score(model, test, codes.ORDER, codes.TARGET)
@@ -99,13 +99,12 @@ def q_early_stop(spark, sf_dir) -> DataFrame:
 
 
 def q_round_curve(spark, sf_dir) -> DataFrame:
-    model, test, _ = fitted_boosted(spark, sf_dir, SMALL_B)
+    model, test, _ = fitted_boosted(spark, sf_dir, models.BOOSTED_B)
     return models.round_curve(model, test, codes.TARGET)
 
 
 def q_train_all(spark, sf_dir) -> DataFrame:
-    return train_all(featured(spark, sf_dir), {"boosted_a": SMALL_A, "boosted_b": SMALL_B},
-                     attribute=False, max_iter=100).results
+    return train_all(featured(spark, sf_dir)).results
 
 
 def minority_embeddings(spark, sf_dir) -> DataFrame:
@@ -139,13 +138,13 @@ def q_smote_balance(spark, sf_dir) -> DataFrame:
 
 
 def q_tree_shap(spark, sf_dir) -> DataFrame:
-    model, test, names = fitted_boosted(spark, sf_dir, SMALL_B)
+    model, test, names = fitted_boosted(spark, sf_dir, models.BOOSTED_B)
     return attribution.attribution_long(attribution.tree_shap(model, test, codes.ORDER), names)
 
 
 def q_shap_additivity(spark, sf_dir) -> DataFrame:
     """Base plus contributions against the model's own log-odds, per row."""
-    model, test, _ = fitted_boosted(spark, sf_dir, SMALL_B)
+    model, test, _ = fitted_boosted(spark, sf_dir, models.BOOSTED_B)
     total = F.col("base") + F.aggregate("phi", F.lit(0.0), lambda a, x: a + x)
     shap = attribution.tree_shap(model, test, codes.ORDER).select("id", total.alias("total"))
     own = models.score(model, test, codes.ORDER, codes.TARGET).select(
@@ -173,7 +172,9 @@ def trial_ids(spark, sf_dir) -> DataFrame:
 
 
 def q_sample_trials(model):
-    return lambda s, d: search.sample_trials(trial_ids(s, d), search.SPACES[model])
+    floats = [f"params_{n}" for n, spec in search.SPACES[model].items() if isinstance(spec, search.FloatRange)]
+    return lambda s, d: search.sample_trials(trial_ids(s, d), search.SPACES[model]).withColumns(
+        {c: F.round(c, 9) for c in floats})
 
 
 def q_trial_bounds(spark, sf_dir) -> DataFrame:
@@ -181,13 +182,13 @@ def q_trial_bounds(spark, sf_dir) -> DataFrame:
     drawn = search.sample_trials(trial_ids(spark, sf_dir), search.SPACES["lgb"])
     inside = F.expr("params_n_estimators BETWEEN 100 AND 1000 AND params_n_estimators % 100 = 0 "
                     "AND params_learning_rate BETWEEN 0.001 AND 0.2 AND params_max_depth BETWEEN 3 AND 12 "
-                    "AND params_num_leaves BETWEEN 15 AND 255 AND params_min_child_samples BETWEEN 5 AND 100 "
+                    "AND params_min_child_samples BETWEEN 5 AND 100 "
                     "AND params_subsample BETWEEN 0.5 AND 1 AND params_colsample_bytree BETWEEN 0.5 AND 1")
     return drawn.agg(F.count(F.lit(1)).alias("trials"), F.count_if(inside).alias("inside"))
 
 
 def q_run_trials(spark, sf_dir) -> DataFrame:
-    return tune(featured(spark, sf_dir), "lgb", 2, space=SMALL_SPACE)[0]
+    return tune(featured(spark, sf_dir), "lgb", 2)[0]
 
 
 def priced_trials(spark, sf_dir) -> DataFrame:
@@ -208,8 +209,8 @@ QUERIES = {
     "standard_scale": q_scale,
     "logistic_baseline": q_logistic,
     "logistic_optimum": q_logistic_optimum,
-    "boosted_trees_a": q_boosted(SMALL_A),
-    "boosted_trees_b": q_boosted(SMALL_B),
+    "boosted_trees_a": q_boosted(models.BOOSTED_A),
+    "boosted_trees_b": q_boosted(models.BOOSTED_B),
     "round_curve": q_round_curve,
     "early_stop_round": q_early_stop,
     "save_model": q_save_model,
@@ -244,6 +245,22 @@ def _neighbours_sql(where: str) -> str:
  SELECT id, rk::INTEGER AS rank, neighbour, round(d, 6) AS distance FROM ranked WHERE rk <= 5"""
 
 
+def _trials_sql(space: search.Space) -> str:
+    """The drawn trials in SQL: 13 digits of a digest make the uniform number."""
+    out = []
+    for name, spec in space.items():
+        u = f"(('0x' || substr(md5('42|' || p_partkey || '|{name}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+        if isinstance(spec, search.IntRange):
+            count = (spec.high - spec.low) // spec.step + 1
+            out.append(f"({spec.low} + {spec.step} * floor({u} * {count}))::INTEGER AS params_{name}")
+        elif spec.log:
+            low, high = f"ln({spec.low}::DOUBLE)", f"ln({spec.high}::DOUBLE)"
+            out.append(f"round(exp({low} + {u} * ({high} - {low})), 9) AS params_{name}")
+        else:
+            out.append(f"round({spec.low}::DOUBLE + {u} * {spec.high - spec.low}::DOUBLE, 9) AS params_{name}")
+    return f"SELECT p_partkey AS trial, {', '.join(out)} FROM part"
+
+
 _SPLIT_TEST = S.upto("split", "SELECT encounter_order, {} FROM split WHERE split = 'test'")
 
 ORACLES = {
@@ -269,6 +286,8 @@ ORACLES = {
                                                   "ORDER BY m DESC, feature LIMIT 10",
     "beeswarm_points": _PHI_SQL + _RANK_SQL + " SELECT id, feature, value, round(phi, 6) AS phi FROM phi WHERE feature IN "
                                               "(SELECT feature FROM ranked ORDER BY m DESC, feature LIMIT 2)",
+    "sample_trials": _trials_sql(search.SPACES["lgb"]),
+    "sample_trials_xgb": _trials_sql(search.SPACES["xgb"]),
     "sample_trials_bounds": "SELECT count(*) AS trials, count(*) AS inside FROM part",
     "best_trial": "SELECT p_partkey AS trial, p_size / 50.0::DOUBLE AS value FROM part "
                   "ORDER BY p_size DESC, p_partkey LIMIT 1",

@@ -8,9 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from wardlens.operators import impute, split
+from wardlens.operators import split
 from wardlens.operators.dedup import duplicate_count, first_per_key
 from wardlens.operators.encode import OneHot, OneHotModel, binary_target
+from wardlens.operators.order import running_totals
 from wardlens.operators.impute import MedianImputer, exact_medians
 from wardlens.operators.order import ordered_index, rows_at_ranks, running_totals
 from wardlens.operators.profile import frame_shape, missing_profile, target_balance
@@ -108,9 +109,7 @@ def test_one_hot_refuses_more_categories_than_a_schema_holds(spark):
         OneHot(max_categories=20).fit(df)
 
 
-@pytest.mark.parametrize("small_limit", [0, 100_000])
-def test_exact_medians_both_ways(spark, monkeypatch, small_limit):
-    monkeypatch.setattr(impute, "_SMALL", small_limit)
+def test_exact_medians(spark):
     data = {"odd": [3, 1, 2], "even": [10, 1, 2, 3], "one": [5], "copies": [4] * 9 + [1],
             "neg": list(np.random.default_rng(0).normal(size=501))}
     rows = [tuple(float(v[i]) if i < len(v) else None for v in data.values()) for i in range(501)]
@@ -184,3 +183,28 @@ def test_weights(spark):
 
 def test_scratch_follows_the_session_setting(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_split_of_a_gapped_order_cuts_by_position(spark):
+    df = spark.range(1, 101).toDF("o").where("o > 50")
+    assert split.early_rows(df, ["o"], dense=True) is not None
+    counts = split.temporal_split(df, ["o"], dense=True).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in counts} == {"train": 40, "test": 10}
+
+
+def test_balanced_weight_of_many_classes(spark):
+    df = spark.range(30_000).select((F.col("id") % 15_000).alias("y"))
+    assert {r["w"] for r in split.balanced_weight(df, "y", "w").select("w").distinct().collect()} == {1.0}
+    mixed = spark.createDataFrame([(1,), (1,), (1,), (0,), (None,)], "y int")
+    got = {r["y"]: r["weight"] for r in split.balanced_weight(mixed, "y").collect()}
+    assert got == {1: pytest.approx(4 / 6), 0: 2.0, None: None}
+
+
+def test_running_totals_need_one_shuffle_of_the_rows(spark, plan_of):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).alias("x"), F.lit(1).alias("n"))
+    out = running_totals(df, ["g"], [F.col("x")], {"n": ("upto", "all")}, slices=5)
+    rows = sorted((r["g"], r["x"], r["upto"], r["all"]) for r in out.collect())
+    for g in range(3):
+        mine = [r for r in rows if r[0] == g]
+        assert [r[2] for r in mine] == list(range(1, len(mine) + 1)) and {r[3] for r in mine} == {len(mine)}
+    assert "Window" not in plan_of(out).split("BroadcastExchange")[0]

@@ -110,13 +110,13 @@ class OneHot:
 
     ``fit`` finds the distinct (column, value) pairs in one aggregation that
     combines on the map side, so any cardinality is safe on the executors. Each
-    category becomes a column, so past ``max_categories`` the fit raises
-    rather than build a schema nothing could plan; it never trims.
+    category becomes a column. ``max_categories`` is for callers who want an
+    error past a number of their own; the vocabulary is never trimmed.
     """
 
     columns: Sequence[str] | None = None
     drop_first: bool = True
-    max_categories: int = 20_000
+    max_categories: int | None = None
 
     def fit(self, df: DataFrame) -> OneHotModel:
         columns = list(self.columns) if self.columns is not None else text_columns(df)
@@ -125,11 +125,11 @@ class OneHot:
         pairs = (df.unpivot([], [quoted(c).cast("string").alias(c) for c in columns],
                             "column", "value")
                  .where(F.col("value").isNotNull()).distinct())
-        found = pairs.limit(self.max_categories + 1).collect()
+        found = pairs.collect() if self.max_categories is None else pairs.limit(self.max_categories + 1).collect()
         vocabulary: dict[str, list[str]] = {c: [] for c in columns}
         for row in found:
             vocabulary[row["column"]].append(row["value"])
-        if len(found) > self.max_categories:
+        if self.max_categories is not None and len(found) > self.max_categories:
             widest = max(columns, key=lambda c: len(vocabulary[c]))
             raise ValueError(f"more than {self.max_categories} categories to encode, "
                              f"most of them in {widest!r}")

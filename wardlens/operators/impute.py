@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 from wardlens.functions.scalar import quoted
 from wardlens.operators.order import running_totals
 from wardlens.operators.profile import columns_with_nulls
-from wardlens.session import durable
-
-_SMALL = 100_000  # distinct values over all columns that one task may hold
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -25,21 +22,13 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, median): mean of the middle two values, nulls ignored.
 
     The built-in exact median keeps every distinct value of a column in one
-    buffer. Here equal values first fold to counts on the map side. A checked
-    small number of counts goes to the weighted built-in; any larger one is
-    range-partitioned, and the value whose running count covers the middle
+    buffer. Here equal values first fold to counts on the map side, the counts
+    are range-partitioned, and the value whose running count covers the middle
     rank is the answer.
     """
-    counts = durable(
-        df.unpivot([], [quoted(c).cast("double").alias(c) for c in columns], "column", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
-    if counts.count() <= _SMALL:
-        return counts.groupBy("column").agg(F.percentile("value", 0.5, F.col("n")).alias("median"))
-    return _medians_by_rank(counts)
-
-
-def _medians_by_rank(counts: DataFrame) -> DataFrame:
+    counts = (df.unpivot([], [quoted(c).cast("double").alias(c) for c in columns], "column", "value")
+              .where(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
     running = running_totals(counts, ["column"], [F.col("value")], {"n": ("upto", "total")})
     before = F.col("upto") - F.col("n")
 

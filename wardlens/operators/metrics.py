@@ -96,9 +96,10 @@ def f1_binary(scored: DataFrame, label: str = "label", pred: str = "pred",
                     _ratio(2 * tp, 2 * tp + F.col("fp") + F.col("fn")).alias("f1")))
 
 
-def classification_report(scored: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
+def classification_report(scored: DataFrame, label: str = "label", pred: str = "pred",
+                          by: Sequence[str] = ()) -> DataFrame:
     """Per-class precision, recall, F1 and support, then the three summary rows."""
-    counts = confusion_counts(scored, label, pred)
+    counts = confusion_counts(scored, label, pred, by)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
 
     def line(name, hit, predicted, support):
@@ -132,11 +133,11 @@ def classification_report(scored: DataFrame, label: str = "label", pred: str = "
     macro = summary("macro avg", lambda c: F.lit(1.0) / F.size("classes"))
     weighted = summary("weighted avg", lambda c: c["support"] / total)
     return (classes.where(total > 0)
-            .select(F.inline(F.concat(per_class, F.array(accuracy, macro, weighted)))))
+            .select(*[quoted(c) for c in by], F.inline(F.concat(per_class, F.array(accuracy, macro, weighted)))))
 
 
-def base_rate(scored: DataFrame, label: str = "label") -> DataFrame:
-    return scored.agg(F.avg(quoted(label)).alias("base_rate"))
+def base_rate(scored: DataFrame, label: str = "label", by: Sequence[str] = ()) -> DataFrame:
+    return scored.groupBy(*[quoted(c) for c in by]).agg(F.avg(quoted(label)).alias("base_rate"))
 
 
 def precision_at_k(scored: DataFrame, k: int = 100, label: str = "label", score: str = "proba",

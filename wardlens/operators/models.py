@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
+import numpy as np
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression,
@@ -18,7 +20,7 @@ from pyspark.sql.window import Window
 from wardlens.functions.scalar import quoted
 from wardlens.operators.metrics import average_precision, with_prediction
 from wardlens.operators.scale import StandardScale
-from wardlens.operators.trees import margins_at, read_forest, staged_margins
+from wardlens.operators.trees import Forest, margins_at, read_forest, staged_margins
 from wardlens.session import durable, ensure_checkpoint_dir
 
 _SCALED = "__scaled"
@@ -39,13 +41,14 @@ def training_vectors(train: DataFrame, stages: Sequence[Transformer], label: str
 
     Iterative fits submit hundreds of jobs. From the written table each of them
     ships a short plan and reads three columns, and a lost executor costs a
-    re-read instead of the whole preparation.
+    re-read instead of the whole preparation. The rebalance gives files of the
+    advisory size, so a small table does not pay for many tasks in every job.
     """
     vectors = train
     for stage in stages:
         vectors = stage.transform(vectors)
     return durable(vectors.select("features", quoted(label).cast("double").alias(label),
-                                  quoted(weight)), "vectors")
+                                  quoted(weight)).hint("rebalance"), "vectors")
 
 
 def fit_logistic(train: DataFrame, names: Sequence[str], label: str, weight: str,
@@ -100,7 +103,10 @@ class BoostedModel:
             return (self.pipeline.transform(df)
                     .withColumn("proba", vector_to_array("probability")[1])
                     .drop("features", "rawPrediction", "probability", "prediction"))
-        vectors = self.pipeline.stages[0].transform(df)
+        return self.probabilities(self.pipeline.stages[0].transform(df))
+
+    def probabilities(self, vectors: DataFrame) -> DataFrame:
+        """Replace the feature vector by ``proba`` of the first rounds."""
         margin = margins_at(vectors, read_forest(self.ensemble), self.rounds)
         return (margin.withColumn("proba", 1 / (1 + F.exp(-2 * F.col("margin"))))
                 .drop("features", "margin"))
@@ -139,17 +145,38 @@ def fit_boosted(train: DataFrame, names: Sequence[str], label: str, weight: str,
     model = BoostedModel(PipelineModel([stage, booster.fit(vectors)]), preset.rounds)
     if preset.patience is None or evaluation is None:
         return model
-    curve = round_curve(model, evaluation, label).withColumn("model", F.lit("boosted"))
+    curve = (round_curve(model, evaluation, label, preset.patience)
+             .withColumn("model", F.lit("boosted")))
     best = early_stop_round(curve, "round", "auprc", preset.patience, ["model"]).first()
     return replace(model, rounds=best["best_round"])
 
 
-def round_curve(model: BoostedModel, evaluation: DataFrame, label: str) -> DataFrame:
-    """Average precision after each boosting round, 1-based."""
-    vectors = model.pipeline.stages[0].transform(evaluation).select(quoted(label), "features")
-    staged = staged_margins(vectors, read_forest(model.ensemble))
-    long = staged.select(quoted(label), F.posexplode("margins").alias("__at", "margin"))
-    return average_precision(long.withColumn("round", F.col("__at") + 1), label, "margin", ["round"])
+def round_curve(model: BoostedModel, evaluation: DataFrame, label: str, patience: int | None = None,
+                block: int = 50) -> DataFrame:
+    """Average precision after each boosting round, 1-based.
+
+    Rounds are scored in blocks, each from the margins the block before left
+    behind, so a row is spread over ``block`` rounds at a time. With
+    ``patience`` the curve ends with the block in which that many rounds have
+    passed without gain: later rounds cannot change where to stop.
+    """
+    forest = read_forest(model.ensemble)
+    vectors = model.pipeline.stages[0].transform(evaluation).select(
+        quoted(label).alias("label"), vector_to_array("features").alias("features"), F.lit(0.0).alias("before"))
+    now, parts, values = durable(vectors, "curve"), [], []
+    for start in range(0, len(forest.trees), block):
+        piece = Forest(forest.trees[start:start + block], forest.weights[start:start + block])
+        staged = durable(staged_margins(now.withColumn("kept", F.col("features")), piece), "curve")
+        long = staged.select("label", F.posexplode("margins").alias("at", "margin"), "before").select(
+            "label", (F.col("at") + start + 1).alias("round"), (F.col("margin") + F.col("before")).alias("margin"))
+        part = durable(average_precision(long, "label", "margin", ["round"]), "curve-part")
+        parts.append(part)
+        values += [r["auprc"] for r in part.orderBy("round").collect()]  # one number per round
+        if patience is not None and len(values) - 1 - int(np.argmax(values)) >= patience:
+            break
+        now = staged.select("label", F.col("kept").alias("features"),
+                            (F.element_at("margins", -1) + F.col("before")).alias("before"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def early_stop_round(curve: DataFrame, round_col: str, metric: str, patience: int,
@@ -183,8 +210,14 @@ def early_stop_round(curve: DataFrame, round_col: str, metric: str, patience: in
 
 def score(model, df: DataFrame, key: str, label: str, threshold: float = 0.5) -> DataFrame:
     """(id, label, proba, pred) for any fitted model of this module."""
-    out = model.transform(df)
-    if "proba" not in out.columns:
-        out = out.withColumn("proba", vector_to_array("probability")[1])
-    out = out.select(quoted(key).alias("id"), quoted(label).cast("int").alias("label"), "proba")
+    wanted = [quoted(key).alias("id"), quoted(label).cast("int").alias("label")]
+    if isinstance(model, BoostedModel) and model.rounds < model.ensemble.getNumTrees:
+        # Only key, label and vector go through Python.
+        vectors = model.pipeline.stages[0].transform(df)
+        out = model.probabilities(vectors.select(*wanted, "features")).select("id", "label", "proba")
+    else:
+        out = model.transform(df)
+        if "proba" not in out.columns:
+            out = out.withColumn("proba", vector_to_array("probability")[1])
+        out = out.select(*wanted, "proba")
     return with_prediction(out, "proba", threshold)

@@ -2,15 +2,18 @@
 
 A window without ``partitionBy`` sends the whole table to one task. These
 operators range-partition on the full order key instead, so equal leading
-values still spread by the tie-break, write the sorted slices once, and carry
-only one total per slice (and group) through the driver.
+values still spread by the tie-break, write the sorted slices once, and add the
+totals of the slices before.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +25,16 @@ from wardlens.session import durable
 _POSITION = "__position"
 _SLICE = "__slice"
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row number in 33 bits
-_MAX_GROUP_TOTALS = 1_000_000
+
+
+def _ranged(df: DataFrame, order: Sequence[Column], slices: int | None) -> DataFrame:
+    """Sorted ranges; without a number adaptive execution fits their count to the data."""
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def _slices(df: DataFrame, order: Sequence[Column], slices: int | None, label: str) -> DataFrame:
-    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *order).sortWithinPartitions(*order)
+    ranged = _ranged(df, order, slices)
     return durable(ranged.withColumn(_POSITION, F.monotonically_increasing_id()), label)
 
 
@@ -96,41 +103,60 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     ``sums`` maps an input column to the names of its running and overall
     total. Rows must be unique on ``by`` plus ``order``: aggregate first, which
     also folds a hot key into one row per map task. A group may span many
-    slices, so one group holding most of the table is still spread out.
+    slices, so one group holding most of the table is still spread out. The
+    sums inside a slice come from the sorting pass itself; the table of slice
+    totals, one row per slice and group, gives the rest.
     """
-    by_cols = [quoted(c) for c in by]
-    sliced = (_slices(df, [*by_cols, *order], slices, "running")
-              .withColumn(_SLICE, _slice_of(F.col(_POSITION))))
-    names = list(sums)
-    parts = (sliced.groupBy(_SLICE, *by_cols)
-             .agg(*[F.sum(quoted(c)).alias(f"__sum_{i}") for i, c in enumerate(names)]))
-    rows = parts.limit(_MAX_GROUP_TOTALS + 1).collect()
-    if len(rows) > _MAX_GROUP_TOTALS:
-        raise ValueError(f"more than {_MAX_GROUP_TOTALS} groups: running totals by {list(by)} "
-                         "are meant for few groups")
-    seen: dict[tuple, list] = defaultdict(lambda: [0] * len(names))
-    offsets = []
-    for row in sorted(rows, key=lambda r: r[_SLICE]):
-        group = tuple(row[c] for c in by)
-        offsets.append((row[_SLICE], group, tuple(seen[group])))
-        seen[group] = [a + (row[f"__sum_{i}"] or 0) for i, a in enumerate(seen[group])]
-    fields = [T.StructField("__at", T.IntegerType()),
-              *[T.StructField(f"__group_{j}", parts.schema[c].dataType) for j, c in enumerate(by)]]
-    for i in range(len(names)):
-        kind = parts.schema[f"__sum_{i}"].dataType
-        fields += [T.StructField(f"__before_{i}", kind), T.StructField(f"__all_{i}", kind)]
-    table = df.sparkSession.createDataFrame(
-        [(s, *group, *[x for i, b in enumerate(before) for x in (b, seen[group][i])])
-         for s, group, before in offsets], T.StructType(fields))
-    window = (Window.partitionBy(_SLICE, *by_cols).orderBy(_POSITION)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    by_cols, names = [quoted(c) for c in by], list(sums)
+    ranged = _ranged(df, [*by_cols, *order], slices)
+    kinds = [T.LongType() if isinstance(df.schema[c].dataType, T.IntegralType) else T.DoubleType() for c in names]
+    fields = [T.StructField(f"__inside_{i}", k) for i, k in enumerate(kinds)]
+    schema = T.StructType([*df.schema.fields, T.StructField(_SLICE, T.IntegerType()), *fields])
+    at_group, at_sum = [df.columns.index(c) for c in by], [df.columns.index(c) for c in names]
+    types = ["int64" if isinstance(k, T.LongType) else "float64" for k in kinds]
+
+    def accumulate(batches):
+        part, last, carried = TaskContext.get().partitionId(), None, [0] * len(names)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            groups = [batch.column(i) for i in at_group]
+            change = np.zeros(n, bool)
+            for g in groups:
+                code = g.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                change[1:] |= code[1:] != code[:-1]
+            first = tuple(g[0].as_py() for g in groups)
+            change[0] = first != last
+            last = tuple(g[n - 1].as_py() for g in groups)
+            start = np.maximum.accumulate(np.where(change, np.arange(n), -1))
+            columns = []
+            for i, (c, kind) in enumerate(zip(at_sum, types)):
+                values = pc.fill_null(batch.column(c).cast(kind), 0).to_numpy(zero_copy_only=False)
+                total = np.cumsum(values)
+                before = np.where(start >= 0, total[start] - values[start], -carried[i])
+                columns.append(pa.array(total - before))
+                carried[i] = columns[-1][n - 1].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(n, part, np.int32)), *columns],
+                [*batch.schema.names, _SLICE, *[f.name for f in fields]])
+
+    sliced = durable(ranged.mapInArrow(accumulate, schema), "running")
+    in_order = Window.partitionBy(*by_cols).orderBy(_SLICE)
+    whole = Window.partitionBy(*by_cols)
+    parts = sliced.groupBy(_SLICE, *by_cols).agg(*[F.sum(quoted(c)).cast(k).alias(f"__sum_{i}")
+                                                   for i, (c, k) in enumerate(zip(names, kinds))])
+    table = parts.select(F.col(_SLICE).alias("__at"), *[quoted(c).alias(f"__group_{j}") for j, c in enumerate(by)],
+                         *[(F.sum(f"__sum_{i}").over(in_order) - F.col(f"__sum_{i}")).alias(f"__before_{i}")
+                           for i in range(len(names))],
+                         *[F.sum(f"__sum_{i}").over(whole).alias(f"__all_{i}") for i in range(len(names))])
     same = F.col(_SLICE) == F.col("__at")
     for j, c in enumerate(by_cols):
         same = same & c.eqNullSafe(F.col(f"__group_{j}"))
-    out = sliced.join(F.broadcast(table), same)
+    out = sliced.join(table, same)
     for i, c in enumerate(names):
         running, overall = sums[c]
-        out = (out.withColumn(running, F.sum(quoted(c)).over(window) + F.col(f"__before_{i}"))
+        out = (out.withColumn(running, F.col(f"__inside_{i}") + F.col(f"__before_{i}"))
                .withColumn(overall, F.col(f"__all_{i}")))
     return out.select(*[quoted(c) for c in df.columns],
                       *[quoted(t) for pair in sums.values() for t in pair])

@@ -11,7 +11,6 @@ from wardlens.functions.scalar import exact_literal, lexicographic_le, quoted
 from wardlens.operators.order import rows_at_ranks
 
 TRAIN, TEST = "train", "test"
-_MAX_CLASSES = 10_000
 
 
 def train_size(rows: int, test_fraction: float) -> int:
@@ -23,11 +22,11 @@ def early_rows(df: DataFrame, order: Sequence[str], test_fraction: float = 0.20,
     """Condition that holds on the first rows of the total order.
 
     Only the cut is looked up; the condition is a plain comparison that a scan
-    can use to skip data. With ``dense`` the single order column already counts
-    1..N, so the cut is arithmetic on its maximum.
+    can use to skip data. ``dense`` says that the single order column should
+    count 1..N; where one aggregate confirms it the cut is arithmetic, else,
+    as after a filter, it is looked up like any other.
     """
-    if dense:
-        n = df.agg(F.max(quoted(order[0])).alias("n")).first()["n"] or 0
+    if dense and (n := _dense_size(df, quoted(order[0]))) is not None:
         return quoted(order[0]) <= F.lit(train_size(n, test_fraction))
     n, found = rows_at_ranks(df, order, lambda n: _cut_ranks(n, test_fraction))
     return _before_cut(df, order, found, train_size(n, test_fraction))
@@ -47,6 +46,21 @@ def temporal_halves(df: DataFrame, order: Sequence[str], test_fraction: float =
     return df.where(early), df.where(~early)
 
 
+def _dense_size(df: DataFrame, x: Column) -> int | None:
+    """N if the column holds 1..N, judged by count, ends and the sums of its first powers; else None."""
+    wide = x.cast("decimal(38,0)")
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"),
+                 F.sum(wide).alias("s"), F.sum((x * x).cast("decimal(38,0)")).alias("q"),
+                 F.bit_xor(x.cast("long")).alias("x")).first()
+    n = row["rows"]
+    if n == 0:
+        return 0
+    xor = (n, 1, n + 1, 0)[n % 4]
+    dense = (row["n"] == n and row["low"] == 1 and row["high"] == n and row["s"] == n * (n + 1) // 2
+             and row["q"] == n * (n + 1) * (2 * n + 1) // 6 and row["x"] == xor)
+    return n if dense else None
+
+
 def _cut_ranks(n: int, test_fraction: float) -> list[int]:
     last = train_size(n, test_fraction)
     return [1, last, last + 1, n]
@@ -90,14 +104,14 @@ def positive_weight(df: DataFrame, target: str, name: str = "weight") -> DataFra
 
 
 def balanced_weight(df: DataFrame, target: str, name: str = "weight") -> DataFrame:
-    """Weight each class by rows / (classes * rows of the class)."""
-    sizes = (df.where(quoted(target).isNotNull()).groupBy(quoted(target).alias("label"))
-             .agg(F.count(F.lit(1)).alias("n")).limit(_MAX_CLASSES + 1).collect())
-    if len(sizes) > _MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {_MAX_CLASSES} classes")
-    total = sum(r["n"] for r in sizes)
-    weight = F
-    for row in sorted(sizes, key=lambda r: r["label"]):
-        weight = weight.when(quoted(target) == F.lit(row["label"]),
-                             F.lit(total / (len(sizes) * row["n"])))
-    return df.withColumn(name, weight if sizes else F.lit(None).cast("double"))
+    """Weight each class by rows / (classes * rows of the class); null has no weight.
+
+    The table of classes joins the rows, so any number of classes will do.
+    """
+    sizes = (df.where(quoted(target).isNotNull()).groupBy(quoted(target).alias("__class"))
+             .agg(F.count(F.lit(1)).alias("__rows")))
+    whole = sizes.agg(F.sum("__rows").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
+    weights = sizes.select("__class", (F.lit(whole["rows"]) / (F.lit(whole["classes"]) * F.col("__rows"))).alias("__value"))
+    rest = [quoted(c) for c in df.columns if c != name]
+    return (df.join(weights, quoted(target) == F.col("__class"), "left")
+            .select(*rest, F.col("__value").alias(name)))

@@ -1,12 +1,13 @@
 """Tree ensembles as arrays: margins per boosting round and Shapley values.
 
-Each row is independent, so both are narrow: the ensemble is broadcast (its
-node count is checked) and NumPy works through Arrow batches inside the tasks.
+Each row is independent, so both are narrow: the ensemble is broadcast in blocks
+of trees of a bounded size, and NumPy works through Arrow batches inside the
+tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from wardlens.session import scratch_path
 
-MAX_NODES = 2_000_000  # about 100 MB of arrays
+BLOCK_NODES = 1_000_000  # about 50 MB of arrays in a broadcast
 _CHUNK_CELLS = 2_000_000
 
 
@@ -40,12 +41,24 @@ class Forest:
     trees: tuple[Tree, ...]
     weights: tuple[float, ...]
 
+    def head(self, rounds: int) -> Forest:
+        return Forest(self.trees[:rounds], self.weights[:rounds])
+
+    def blocks(self) -> list[Forest]:
+        """Runs of trees with at most ``BLOCK_NODES`` nodes; a larger tree stands alone."""
+        cuts, size = [0], 0
+        for i, t in enumerate(self.trees):
+            if size and size + len(t.value) > BLOCK_NODES:
+                cuts.append(i)
+                size = 0
+            size += len(t.value)
+        ends = [*cuts[1:], len(self.trees)]
+        return [Forest(self.trees[a:b], self.weights[a:b]) for a, b in zip(cuts, ends)]
+
 
 def read_forest(model: GBTClassificationModel) -> Forest:
     """Node arrays of a fitted ensemble, read from its saved form."""
     spark = SparkSession.active()
-    if model.totalNumNodes > MAX_NODES:
-        raise ValueError(f"{model.totalNumNodes} nodes are too many to broadcast")
     path = scratch_path(spark, "forest")
     model.write().save(path)
     node = F.col("nodeData")
@@ -81,36 +94,47 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
 
 
-def _with_array(df: DataFrame, name: str, kind: T.DataType, compute, forest: Forest,
-                features: str = "features") -> DataFrame:
-    """Replace the feature vector by ``compute(forest, matrix)`` for every row."""
-    shared = df.sparkSession.sparkContext.broadcast(forest)
-    arrays = df.withColumn(features, vector_to_array(features))
+def _with_array(df: DataFrame, name: str, kind: T.DataType, payloads: Sequence, step: Callable,
+                finish: Callable, features: str = "features") -> DataFrame:
+    """Add ``finish(acc)`` per row, where ``acc = step(payload, matrix, acc)`` runs over the blocks."""
+    shared = [df.sparkSession.sparkContext.broadcast(p) for p in payloads]
+    is_vector = not isinstance(df.schema[features].dataType, T.ArrayType)
+    arrays = df.withColumn(features, vector_to_array(features)) if is_vector else df
     schema = T.StructType([*arrays.schema.fields, T.StructField(name, kind)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                batch[name] = list(compute(shared.value, _matrix(batch[features])))
+                x, acc = _matrix(batch[features]), None
+                for block in shared:
+                    acc = step(block.value, x, acc)
+                batch[name] = list(finish(acc))
                 yield batch
 
     return arrays.mapInPandas(run, schema)
 
 
-def _staged(forest: Forest, x: np.ndarray) -> np.ndarray:
-    steps = [w * tree_values(t, x) for t, w in zip(forest.trees, forest.weights)]
-    return np.cumsum(np.stack(steps, axis=1), axis=1)
+def _staged(forest: Forest, x: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    steps = np.stack([w * tree_values(t, x) for t, w in zip(forest.trees, forest.weights)], axis=1)
+    if before is None:
+        return np.cumsum(steps, axis=1)
+    return np.concatenate([before, np.cumsum(steps, axis=1) + before[:, -1:]], axis=1)
+
+
+def _summed(forest: Forest, x: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    total = sum(w * tree_values(t, x) for t, w in zip(forest.trees, forest.weights))
+    return total if before is None else before + total
 
 
 def staged_margins(vectors: DataFrame, forest: Forest) -> DataFrame:
     """Add ``margins``: the margin after each boosting round."""
-    return _with_array(vectors, "margins", T.ArrayType(T.DoubleType()), _staged, forest).drop("features")
+    return _with_array(vectors, "margins", T.ArrayType(T.DoubleType()), forest.blocks(), _staged,
+                       lambda acc: acc).drop("features")
 
 
-def margins_at(vectors: DataFrame, forest: Forest, rounds: int) -> DataFrame:
-    """Add ``margin``: the margin after the first ``rounds`` rounds."""
-    head = Forest(forest.trees[:rounds], forest.weights[:rounds])
-    return _with_array(vectors, "margin", T.DoubleType(), lambda f, x: _staged(f, x)[:, -1], head)
+def margins_at(vectors: DataFrame, forest: Forest, rounds: int, name: str = "margin") -> DataFrame:
+    """Add the margin after the first ``rounds`` rounds; the features stay."""
+    return _with_array(vectors, name, T.DoubleType(), forest.head(rounds).blocks(), _summed, lambda acc: acc)
 
 
 @dataclass(frozen=True)
@@ -180,16 +204,17 @@ def path_shapley(paths: Paths, x: np.ndarray, phi: np.ndarray, weight: float) ->
     return weight * float((paths.share.prod(axis=1) * paths.value).sum())
 
 
-def _shapley(forest: Forest, x: np.ndarray) -> np.ndarray:
+def _shapley(block: list[tuple[Paths, float]], x: np.ndarray, before: np.ndarray | None) -> np.ndarray:
     """Per row: log-odds contribution of each feature, then the base value."""
     phi = np.zeros(x.shape)
-    base = sum(path_shapley(tree_paths(t), x, phi, 2 * w)
-               for t, w in zip(forest.trees, forest.weights))
-    return np.column_stack([phi, np.full(len(x), base)])
+    base = sum(path_shapley(paths, x, phi, 2 * weight) for paths, weight in block)
+    part = np.column_stack([phi, np.full(len(x), base)])
+    return part if before is None else before + part
 
 
 def shapley_values(vectors: DataFrame, forest: Forest) -> DataFrame:
     """Add ``phi`` (log-odds contributions), ``base``; keep ``features`` as an array."""
-    both = _with_array(vectors, "__phi", T.ArrayType(T.DoubleType()), _shapley, forest)
+    payloads = [[(tree_paths(t), w) for t, w in zip(b.trees, b.weights)] for b in forest.blocks()]
+    both = _with_array(vectors, "__phi", T.ArrayType(T.DoubleType()), payloads, _shapley, lambda acc: acc)
     return (both.withColumn("base", F.element_at("__phi", -1))
             .withColumn("phi", F.slice("__phi", 1, F.size("__phi") - 1)).drop("__phi"))

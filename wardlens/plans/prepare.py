@@ -36,12 +36,15 @@ def first_encounters(raw: DataFrame, slices: int | None = None) -> DataFrame:
     """Coded first encounter of each patient with its dense ``encounter_order``.
 
     Code maps run before the shuffle, so tiny integers travel instead of text.
+    An id that repeats within a patient is settled by the other columns.
     Diagnosis codes are shorter than their group names and slow to parse, so
     they are grouped after it, on the surviving rows only. The ordered write is
     the table every later fit pass reads.
     """
     require(raw, REQUIRED)
-    kept = first_per_key(code_values(raw), ["patient_nbr"], ["encounter_id"])
+    coded = code_values(raw)
+    ties = sorted(c for c in coded.columns if c not in ("patient_nbr", "encounter_id"))
+    kept = first_per_key(coded, ["patient_nbr"], ["encounter_id", *ties])
     kept = encode.categorise_diagnoses(kept.drop("patient_nbr"))
     return ordered_index(kept, ["encounter_id"], codes.ORDER, slices).drop("encounter_id")
 

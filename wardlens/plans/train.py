@@ -39,6 +39,8 @@ class TrainReport:
     results: DataFrame | None = None
     curve: DataFrame | None = None
     precision: dict[str, float] = field(default_factory=dict)
+    classification: DataFrame | None = None
+    base_rate: DataFrame | None = None
     attributions: dict[str, DataFrame] = field(default_factory=dict)
     best: Row | None = None
 
@@ -92,6 +94,8 @@ def train_all(featured: DataFrame, presets: Mapping[str, BoostPreset] = DEFAULT_
         for name, m in report.models.items()]), "scored")
     report.results = metrics.results_summary(report.scored)
     report.curve = metrics.pr_curve(report.scored, by=["model"])
+    report.classification = metrics.classification_report(report.scored, by=["model"])
+    report.base_rate = metrics.base_rate(report.scored, by=["model"])
     for name in presets:
         mine = report.scored.where(F.col("model") == name)
         report.precision[name] = metrics.precision_at_k(mine).first()["precision_at_k"]
@@ -112,6 +116,8 @@ def save_report(report: TrainReport, out: str) -> None:
         save_model(model, f"{out}/models/{name}")
     write_results(report.results, f"{out}/results")
     write_stage(report.curve, f"{out}/pr_curve")
+    write_stage(report.classification, f"{out}/classification")
+    write_stage(report.base_rate, f"{out}/base_rate")
     for name, phi in report.attributions.items():
         phi = durable(phi, "phi")
         write_stage(mean_abs_importance(phi), f"{out}/importance/{name}")
@@ -119,14 +125,22 @@ def save_report(report: TrainReport, out: str) -> None:
 
 
 def tune(featured: DataFrame, model: str = "lgb", n_trials: int = 20, seed: int = 42,
-         space: Space | None = None, parallelism: int = 2, out: str | None = None):
-    """Random search on a stage table, scored on its chronological holdout: (trials, best row)."""
+         space: Space | None = None, parallelism: int = 2, out: str | None = None,
+         eval_on: str = "validation"):
+    """Random search on a stage table: (trials, best row).
+
+    Trials fit on the first four fifths of the training rows and are scored on
+    the last fifth, so the test rows stay unseen; ``eval_on="test"`` fits on all
+    training rows and scores on the test rows.
+    """
     names = feature_names(featured, [codes.TARGET, codes.ORDER])
-    train, test = _halves(featured)
+    train, holdout = _halves(featured)
+    if eval_on == "validation":
+        train, holdout = _halves(train)
     ratio = class_ratio(train, codes.TARGET).first()["ratio"]
     ids = featured.sparkSession.range(n_trials).toDF("trial")
     trials = run_trials(sample_trials(ids, space or SPACES[model], seed),
-                        _weighted(train, float(ratio)), test, names, codes.TARGET, WEIGHT,
+                        _weighted(train, float(ratio)), holdout, names, codes.TARGET, WEIGHT,
                         codes.ORDER, parallelism)
     if out:
         write_trials(trials, f"{out}/trials_{model}")

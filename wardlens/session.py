@@ -33,9 +33,9 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _LOCAL_SCRATCH.setdefault(
-        sc.applicationId, tempfile.mkdtemp(prefix="wardlens-")
-    )
+    if sc.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="wardlens-")
+    return _LOCAL_SCRATCH[sc.applicationId]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -61,3 +61,14 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application.
+
+    Frames that still read them fail afterwards, so call it once the results
+    are written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_root(spark)}/wardlens-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from wardlens.functions import codes
@@ -24,15 +24,24 @@ def column_type(name: str) -> T.DataType:
     return T.IntegerType() if name in _COUNTS else T.StringType()
 
 
+def csv_reader(reader: DataFrameReader) -> DataFrameReader:
+    """Options that fail on a differing header or a row of the wrong width instead of shifting values."""
+    return reader.options(header=True, quote='"', escape='"', enforceSchema=False, mode="FAILFAST",
+                          columnPruning=False)
+
+
 def scan_encounters(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Read a headed CSV; missing-value tokens become null, numbers are cast.
+    """Read headed CSV files; missing-value tokens become null, numbers are cast.
+
+    A doubled quote inside a quoted value is one quote. Every file must have
+    the header of the first, and every row its width, else the read fails.
 
     Types follow from the column names, so no inference pass is needed. Give
     ``columns`` to skip even the one-line read of the header.
     """
     names = columns or spark.read.option("header", True).csv(path).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    raw = spark.read.schema(text).option("header", True).csv(path)
+    raw = csv_reader(spark.read.schema(text)).csv(path)
     return raw.select(*[null_if_missing(c).try_cast(column_type(c)).alias(c)
                         for c in names])
 

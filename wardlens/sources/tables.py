@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.functions.scalar import quoted
+from wardlens.sources.encounters import csv_reader
 
 RESULTS_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("auprc", T.DoubleType()),
@@ -17,7 +18,7 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the stage table at ``path``; Parquet keeps types, CSV keeps a header."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(header=True, quote='"', escape='"').csv(path)
     else:
         writer.format(fmt).save(path)
 
@@ -25,7 +26,7 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    return csv_reader(reader).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
 
 
 def write_results(results: DataFrame, path: str, digits: int = 4) -> None:
@@ -50,4 +51,4 @@ def write_trials(trials: DataFrame, path: str) -> None:
             flat += [quoted(field.name).getField(n).alias(f"params_{n}") for n in field.dataType.names]
         else:
             flat.append(quoted(field.name))
-    trials.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+    trials.select(*flat).write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
