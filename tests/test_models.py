@@ -239,3 +239,27 @@ def test_trials_keep_to_their_space(spark):
 def test_best_trial_lowest_id_wins(spark):
     df = spark.createDataFrame([(3, 0.5), (1, 0.5), (2, 0.4)], "trial int, value double")
     assert search.best_trial(df).first()["trial"] == 1
+
+
+def test_clustered_rows_visit_few_cells(spark, monkeypatch):
+    from wardlens.operators import neighbours
+
+    rng = np.random.default_rng(8)
+    centres = rng.normal(scale=100, size=(12, 6))
+    points = np.concatenate([c + rng.normal(size=(40, 6)) for c in centres])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vec array<double>")
+    seen, durable = {}, neighbours.durable
+
+    def watched(frame, label):
+        out = durable(frame, label)
+        seen[label] = out
+        return out
+
+    monkeypatch.setattr(neighbours, "durable", watched)
+    got = neighbours.nearest_neighbours(df, 5, pivots=24).collect()
+    assert "vec" not in seen["visits"].columns
+    assert seen["visits"].count() < 0.25 * 24 * len(points)
+    distance = np.linalg.norm(points[:, None] - points, axis=2)
+    np.fill_diagonal(distance, np.inf)
+    for r in got:
+        assert r["distance"] == pytest.approx(np.sort(distance[r["id"]])[r["rank"] - 1])
