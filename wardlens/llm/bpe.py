@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from wardlens.llm.common import map_text
+from wardlens.functions.scalar import quoted
+from wardlens.llm.common import map_text, without
 
 _NONE = np.iinfo(np.int32).max
 _PIECE_BYTES = 1 << 20
@@ -297,9 +298,6 @@ def encode(df: DataFrame, text: str, path: str, ids: str = "ids", decoded: str |
 
 def decode(df: DataFrame, ids: str, path: str, text: str = "decoded") -> DataFrame:
     """Append the text each list of ids decodes to; a null list gives empty text."""
-    from wardlens.functions.scalar import quoted
-    from wardlens.llm.common import without
-
     source = df.select(*[quoted(c) for c in without(df, text)])
     at, columns = source.columns.index(ids), [*source.columns, text]
 

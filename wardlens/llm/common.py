@@ -28,11 +28,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def words_of(data: bytes) -> list[bytes]:
-    """The same words of UTF-8 text: ``bytes.split`` knows ASCII white space alone."""
-    return data.split()
-
-
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows holding about ``limit`` bytes of text each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -171,7 +171,6 @@ def trie_links(signs: np.ndarray, labels: np.ndarray, shortest: int, alike: int)
 
 def candidates(nodes: DataFrame, shortest: int) -> DataFrame:
     """Links ``a, b`` between texts that share a trie node and look alike."""
-    label = F.substring("sign", F.col("tree") * (2 * DEPTH) + 1, 2 * DEPTH)
     placed = (nodes.where("sign is not null").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
               .select("node", "tree", F.expr(f"substring(sign, tree * {2 * DEPTH} + 1, {2 * shortest})").alias("prefix")))
     counted = (placed.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))

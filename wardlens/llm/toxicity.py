@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.functions.scalar import quoted
-from wardlens.llm.common import held_out, map_text, without
+from wardlens.llm.common import map_text, without
 from wardlens.llm.labelled import fit_logistic, labelled_rows
 from wardlens.session import durable
 
@@ -216,6 +216,3 @@ def score(docs: DataFrame, lexicon: Lexicon, *, text: str = "text", threshold: f
             .withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
             .drop("hit_weight", "hit_density"))
-
-
-__all__ = ["EXCEPTIONS", "Lexicon", "SEEDS", "features", "fold", "held_out", "learn", "learn_terms", "score"]
