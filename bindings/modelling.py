@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from wardlens.operators.smote import smote_oversample
 from wardlens.operators.split import (
     balanced_weight, feature_names, positive_weight, temporal_halves,
 )
+from wardlens.operators.trees import read_forest
 from wardlens.plans.train import train_all, tune
 from wardlens.session import scratch_path
 from wardlens.sources.tables import read_stage, write_trials
@@ -103,8 +106,51 @@ def q_round_curve(spark, sf_dir) -> DataFrame:
     return models.round_curve(model, test, codes.TARGET)
 
 
+def trained(spark, sf_dir):
+    """The whole report on a table; the queries that read it share it."""
+    run = (spark.sparkContext.applicationId, sf_dir, "train_all")
+    if run not in _FITTED:
+        _FITTED[run] = train_all(featured(spark, sf_dir))
+    return _FITTED[run]
+
+
 def q_train_all(spark, sf_dir) -> DataFrame:
-    return train_all(featured(spark, sf_dir)).results
+    return trained(spark, sf_dir).results
+
+
+def q_train_all_metrics(spark, sf_dir) -> DataFrame:
+    """Reported metrics against those that MLlib's evaluators find on the report's own scores."""
+    report, out = trained(spark, sf_dir), []
+    for r in report.results.collect():  # one row per model
+        mine = report.scored.where(F.col("model") == r["model"]).select(
+            F.col("label").cast("double").alias("label"), F.col("pred").cast("double").alias("prediction"),
+            array_to_vector(F.array(1 - F.col("proba"), F.col("proba"))).alias("rawPrediction"))
+        area = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(mine)
+        f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0).evaluate(mine)
+        # The report gives four places.
+        out += [(r["model"], "auroc", abs(r["auroc"] - area) < 5.1e-5), (r["model"], "f1", abs(r["f1"] - f1) < 5.1e-5)]
+    return spark.createDataFrame(out, "model string, metric string, same boolean")
+
+
+def q_boosted_structure(spark, sf_dir) -> DataFrame:
+    """Per preset: trees fitted, and whether all keep to its depth, leaf size and step."""
+    out = []
+    for name, preset in (("a", models.BOOSTED_A), ("b", models.BOOSTED_B)):
+        forest = read_forest(fitted_boosted(spark, sf_dir, preset)[0].ensemble)
+        out.append((name, len(forest.trees), max(map(_depth, forest.trees)) <= preset.max_depth,
+                    min(round(float(t.cover[t.left < 0].min()), 6) for t in forest.trees) >= preset.min_rows,
+                    set(forest.weights[1:]) == {preset.learning_rate}))
+    return spark.createDataFrame(out, "preset string, trees int, depth_kept boolean, leaf_size_kept boolean, "
+                                      "step_kept boolean")
+
+
+def _depth(tree) -> int:
+    level, depth = [0], 0
+    while True:
+        level = [c for n in level if tree.left[n] >= 0 for c in (tree.left[n], tree.right[n])]
+        if not level:
+            return depth
+        depth += 1
 
 
 def minority_embeddings(spark, sf_dir) -> DataFrame:
@@ -132,6 +178,11 @@ def smote(spark, sf_dir) -> DataFrame:
     return smote_oversample(train, names, codes.TARGET, codes.ORDER)
 
 
+def q_smote(spark, sf_dir) -> DataFrame:
+    out = smote(spark, sf_dir)
+    return rounded(out, *[c for c in out.columns if c not in (codes.TARGET, codes.ORDER, "synthetic")])
+
+
 def q_smote_balance(spark, sf_dir) -> DataFrame:
     return (smote(spark, sf_dir).groupBy(codes.TARGET, "synthetic")
             .agg(F.count(F.lit(1)).alias("rows")))
@@ -188,7 +239,18 @@ def q_trial_bounds(spark, sf_dir) -> DataFrame:
 
 
 def q_run_trials(spark, sf_dir) -> DataFrame:
-    return tune(featured(spark, sf_dir), "lgb", 2)[0]
+    run = (spark.sparkContext.applicationId, sf_dir, "tune")
+    if run not in _FITTED:
+        _FITTED[run] = tune(featured(spark, sf_dir), "lgb", 2)[0]
+    return _FITTED[run]
+
+
+def q_run_trials_drawn(spark, sf_dir) -> DataFrame:
+    """The configurations the trials ran with, and whether each got a score that average precision can take."""
+    ran = q_run_trials(spark, sf_dir)
+    floats = [f"params_{n}" for n, spec in search.SPACES["lgb"].items() if isinstance(spec, search.FloatRange)]
+    return (ran.withColumns({c: F.round(c, 9) for c in floats})
+            .withColumn("scored", F.col("value").between(0, 1) & ~F.isnan("value")).drop("value"))
 
 
 def priced_trials(spark, sf_dir) -> DataFrame:
@@ -215,9 +277,11 @@ QUERIES = {
     "early_stop_round": q_early_stop,
     "save_model": q_save_model,
     "train_all": q_train_all,
+    "train_all_metrics": q_train_all_metrics,
+    "boosted_structure": q_boosted_structure,
     "minority_neighbours": q_neighbours,
     "neighbours_embeddings": q_neighbours_all,
-    "smote_oversample": smote,
+    "smote_oversample": q_smote,
     "smote_balance": q_smote_balance,
     "tree_shap": q_tree_shap,
     "tree_shap_additivity": q_shap_additivity,
@@ -228,6 +292,7 @@ QUERIES = {
     "sample_trials_xgb": q_sample_trials("xgb"),
     "sample_trials_bounds": q_trial_bounds,
     "run_trials": q_run_trials,
+    "run_trials_drawn": q_run_trials_drawn,
     "best_trial": lambda s, d: search.best_trial(priced_trials(s, d)).select("trial", "value"),
     "write_trials": q_write_trials,
 }
@@ -245,11 +310,37 @@ def _neighbours_sql(where: str) -> str:
  SELECT id, rk::INTEGER AS rank, neighbour, round(d, 6) AS distance FROM ranked WHERE rk <= 5"""
 
 
-def _trials_sql(space: search.Space) -> str:
-    """The drawn trials in SQL: 13 digits of a digest make the uniform number."""
+def _unit_sql(key: str, name: str) -> str:
+    """13 digits of a digest make the uniform number."""
+    return f"(('0x' || substr(md5('42|' || {key} || '|{name}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+def _smote_sql() -> str:
+    names = ["gender", "age", *S.PLAIN, "A1Cresult", "max_glu_serum", *S.DRUGS, "change", "diabetesMed", *S.FEATURES,
+             *[f"{c}_{v}" for c in S.VOCABULARY for v in S.VOCABULARY[c][1:]]]
+    vec = ", ".join(f"{S.q(n)}::DOUBLE" for n in names)
+    real = ", ".join(f"round({S.q(n)}::DOUBLE, 6) AS {S.q(n)}" for n in names)
+    made = ", ".join(f"round(a.v[{i}] + w.u * (b.v[{i}] - a.v[{i}]), 6)" for i in range(1, len(names) + 1))
+    return S.upto("split", f""", tr AS (SELECT * FROM split WHERE split = 'train'),
+ c AS (SELECT readmitted_lt30 AS y, count(*) AS n FROM tr GROUP BY 1),
+ few AS (SELECT y, n, (SELECT max(n) FROM c) - n AS missing FROM c ORDER BY n, y LIMIT 1),
+ p AS (SELECT encounter_order AS id, row_number() OVER (ORDER BY encounter_order) AS nth, [{vec}] AS v
+   FROM tr WHERE readmitted_lt30 = (SELECT y FROM few)),
+ near AS (SELECT a.nth, b.nth AS other, row_number() OVER (PARTITION BY a.nth ORDER BY list_distance(a.v, b.v), b.id) AS rk
+   FROM p a JOIN p b ON a.id <> b.id QUALIFY rk <= 5),
+ w AS (SELECT floor({_unit_sql('s', 'base')} * few.n)::BIGINT + 1 AS nth,
+     floor({_unit_sql('s', 'neighbour')} * 5)::BIGINT + 1 AS rk, {_unit_sql('s', 'step')} AS u
+   FROM few, range((SELECT missing FROM few)) AS r(s))
+ SELECT encounter_order, readmitted_lt30, {real}, false AS synthetic FROM tr UNION ALL
+ SELECT NULL, (SELECT y FROM few), {made}, true FROM w JOIN near USING (nth, rk) JOIN p a ON a.nth = near.nth
+   JOIN p b ON b.nth = near.other""")
+
+
+def _trials_sql(space: search.Space, source: str = "part", key: str = "p_partkey", more: str = "") -> str:
+    """The drawn trials in SQL."""
     out = []
     for name, spec in space.items():
-        u = f"(('0x' || substr(md5('42|' || p_partkey || '|{name}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+        u = _unit_sql(key, name)
         if isinstance(spec, search.IntRange):
             count = (spec.high - spec.low) // spec.step + 1
             out.append(f"({spec.low} + {spec.step} * floor({u} * {count}))::INTEGER AS params_{name}")
@@ -258,7 +349,7 @@ def _trials_sql(space: search.Space) -> str:
             out.append(f"round(exp({low} + {u} * ({high} - {low})), 9) AS params_{name}")
         else:
             out.append(f"round({spec.low}::DOUBLE + {u} * {spec.high - spec.low}::DOUBLE, 9) AS params_{name}")
-    return f"SELECT p_partkey AS trial, {', '.join(out)} FROM part"
+    return f"SELECT {key} AS trial, {', '.join(out)}{more} FROM {source}"
 
 
 _SPLIT_TEST = S.upto("split", "SELECT encounter_order, {} FROM split WHERE split = 'test'")
@@ -278,6 +369,13 @@ ORACLES = {
     "minority_neighbours": _neighbours_sql("WHERE label = (SELECT label FROM embeddings GROUP BY label "
                                            "ORDER BY count(*), label LIMIT 1)"),
     "neighbours_embeddings": _neighbours_sql(""),
+    "smote_oversample": _smote_sql(),
+    "train_all_metrics": "SELECT model, metric, true AS same FROM "
+                         "(SELECT unnest(['logistic', 'boosted_a', 'boosted_b']) AS model), "
+                         "(SELECT unnest(['auroc', 'f1']) AS metric)",
+    "boosted_structure": "SELECT preset, 500 AS trees, true AS depth_kept, true AS leaf_size_kept, true AS step_kept "
+                         "FROM (SELECT unnest(['a', 'b']) AS preset)",
+    "run_trials_drawn": _trials_sql(search.SPACES["lgb"], "range(2) AS r(t)", "t", ", true AS scored"),
     "smote_balance": S.upto("split", """, c AS (SELECT readmitted_lt30 AS y, count(*) AS n FROM split WHERE split = 'train'
         GROUP BY 1) SELECT y AS readmitted_lt30, false AS synthetic, n AS rows FROM c UNION ALL
       SELECT y, true, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)"""),

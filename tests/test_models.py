@@ -171,6 +171,12 @@ CASES = {
     "all equal": (lambda r: np.ones((9, 2)), None, 10),
     "alone": (lambda r: np.ones((1, 2)), None, 10),
 }
+CELLED = {
+    "many inner cells": (lambda r: r.normal(size=(300, 3)), 4, 4096, 6),
+    "inner cells in small blocks": (lambda r: r.normal(size=(200, 2)), 2, 7, 3),
+    "one hot region": (lambda r: np.r_[r.normal(size=(150, 3)), r.normal(size=(10, 3)) + 1000], 3, 50, 5),
+    "every row a cell": (lambda r: r.integers(0, 4, (80, 3)), 3, 11, 1),
+}
 
 
 @pytest.mark.parametrize("case", CASES)
@@ -186,6 +192,26 @@ def test_neighbours_are_exact(spark, case):
     assert got == brute_neighbours(ids, x, 5)
 
 
+@pytest.mark.parametrize("case", CELLED)
+def test_neighbours_are_exact_across_inner_cells(spark, case):
+    make, pivots, block, cell_rows = CELLED[case]
+    x = make(np.random.default_rng(6)).astype(float)
+    ids = list(range(len(x)))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in zip(ids, x)], "id long, vec array<double>")
+    got = {i: [] for i in ids}
+    for r in nearest_neighbours(df, 5, pivots, block, cell_rows).orderBy("id", "rank").collect():
+        got[r["id"]].append((r["neighbour"], round(r["distance"], 9)))
+    assert got == brute_neighbours(ids, x, 5)
+
+
+def test_approximate_neighbours_stay_in_their_region(spark):
+    x = np.random.default_rng(7).normal(size=(400, 3))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<double>")
+    near = {(r["id"], r["neighbour"]) for r in nearest_neighbours(df, 5, 4, cell_rows=10, approximate=True).collect()}
+    true = {(i, j) for i, v in brute_neighbours(list(range(400)), x, 5).items() for j, _ in v}
+    assert len(near) == len(true) == 2000 and len(near & true) / 2000 > 0.7
+
+
 @pytest.fixture(scope="module")
 def imbalanced(spark):
     rng = np.random.default_rng(9)
