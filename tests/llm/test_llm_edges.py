@@ -233,6 +233,17 @@ def test_warc(spark, rows):
         assert kinds[(7, "response", None)] == kinds[(8, "response", None)] == 1
 
 
+def test_long_pages_share_fewer_files(spark):
+    pages = spark.range(12, numPartitions=1).selectExpr("id AS page_id", "'a.org/' || id AS url", "repeat(id, 2000) AS HTML")
+    folder = scratch_path(spark, "long-warc")
+    warc.write(pages, folder, bytes_per_file=6000, html="HTML")
+    files = spark.read.format("binaryFile").load(folder).select("length").collect()
+    assert len(files) >= 6 and max(f["length"] for f in files) < 12_000
+    index = warc.merged_index(spark, folder).collect()
+    assert sorted(r["page_id"] for r in index) == list(range(12))
+    assert all(r["payload_bytes"] == 2000 * len(str(r["page_id"])) for r in index)
+
+
 def test_loser_tree():
     rng = np.random.default_rng(5)
     for k in (0, 1, 2, 3, 7, 16):

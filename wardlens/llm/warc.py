@@ -26,6 +26,7 @@ from wardlens.functions.scalar import quoted
 MIN_REVISIT = 100
 _VERSION, _END = b"WARC/1.1\r\n", b"\r\n\r\n"
 _RUN = 20_000
+_HEADER_BYTES = 600  # of a record, about
 
 
 def _clean(value: Column) -> Column:
@@ -77,10 +78,17 @@ def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
         (F.octet_length(http) + F.octet_length(body)).cast("string"), F.lit("\r\n\r\n"), http, body).alias("value"))
 
 
-def write(pages: DataFrame, folder: str, records_per_file: int = 2000, **names) -> None:
-    """Write the archives, at most ``records_per_file`` records in each."""
+def write(pages: DataFrame, folder: str, records_per_file: int = 2000, bytes_per_file: int = 64 << 20, **names) -> None:
+    """Write the archives, at most ``records_per_file`` records in each.
+
+    Where pages are long, fewer: as many as make ``bytes_per_file`` at the
+    table's mean size, since a task reads an archive back as a whole.
+    """
+    html = quoted(names.get("html", "html"))
+    mean = pages.agg(F.avg(F.coalesce(F.octet_length(html), F.lit(0))).alias("mean")).first()["mean"] or 0
+    most = max(1, min(records_per_file, int(bytes_per_file / (mean + _HEADER_BYTES))))
     (records(pages, **names).write.mode("overwrite").option("lineSep", "\r\n\r\n").option("compression", "none")
-     .option("maxRecordsPerFile", records_per_file).text(folder))
+     .option("maxRecordsPerFile", most).text(folder))
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
