@@ -100,6 +100,22 @@ def test_toxicity(spark, medium, docs):
     assert sum(rows[i]["predicted"] for i in toxic) >= 0.9 * len(toxic)
 
 
+def test_toxicity_in_every_language(spark):
+    """Held-out recall of each language, where starts of toxic words turn up in clean documents too."""
+    folder = "/root/testdata/sf0.1"
+    rows = rows_of(spark, folder, "op3_toxicity")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    found = defaultdict(list)
+    for r in docs.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect():
+        if rows[r["doc_id"]]["held_out"]:
+            found[r["lang"], r["toxic"]].append(rows[r["doc_id"]]["predicted"])
+    for lang in ("de", "en", "es", "fr"):
+        toxic, clean = found[lang, 1], found[lang, 0]
+        print(f"{lang}: {sum(toxic)} of {len(toxic)} toxic documents found, {sum(clean)} of {len(clean)} clean called toxic")
+        assert sum(toxic) >= 0.85 * len(toxic), lang
+        assert sum(clean) <= 0.02 * len(clean), lang
+
+
 def test_warc(spark, medium):
     rows = rows_of(spark, medium, "op4_warc")
     pages = {r["page_id"]: (r["html"] or "").encode() for r in spark.read.parquet(f"{medium}/pages.parquet").collect()}

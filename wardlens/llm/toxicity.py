@@ -2,8 +2,9 @@
 
 Folding undoes common disguises: case, accents, letters of other scripts that
 look Latin, digits and signs that stand for letters, invisible characters. The
-automaton finds lexicon terms at word starts; hits inside exception phrases do
-not count. The weighted hits, alone and by length, give the score.
+automaton finds lexicon terms at word starts, in the folded text and in the text
+with its accents kept; hits inside exception phrases do not count. The weighted
+hits, alone and by length, give the score.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,9 @@ from wardlens.session import durable
 SAMPLE = 12_000
 THRESHOLD = 0.7
 _SEED_WEIGHT = 3.0
+_STARTS = (3, 4, 5, 6, 24)  # letters of a word's starts; the last stands for the whole word
+_DOCUMENTS = 3  # a term needs so many toxic documents
+_LIFT = 2.0  # and odds above so many times those of any word
 
 # Common insults that count before anything is learned.
 SEEDS = ("idiot", "moron", "stupid", "imbecile", "loser", "scum", "trash", "worthless", "pathetic", "disgusting",
@@ -45,22 +50,32 @@ SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 def _table() -> dict[int, str | None]:
     table: dict[int, str | None] = {c: " " for c in range(128) if not chr(c).isalnum()}
     table.update({ord(a): b for a, b in [*LOOKALIKES.items(), *SIGNS.items()]})
-    table.update({c: None for c in (*range(0x300, 0x370), 0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF)})
+    table.update({c: None for c in (0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF)})
     table.update({c: " " for c in (*range(0x2010, 0x2060), 0xA0, 0xA1, 0xAB, 0xB7, 0xBB, 0xBF)})
     return table
 
 
 _FOLD = _table()
+_MARKS = dict.fromkeys(range(0x300, 0x370))
 
 
-def fold(text: str) -> str:
-    """Folded text with a space before every word."""
+def fold_marked(text: str) -> str:
+    """Folded text with a space before every word, each accent behind its letter."""
     low = text.lower()
     if not low.isascii():
         low = unicodedata.normalize("NFKD", low)
     return " " + low.translate(_FOLD)
 
 
+def unmarked(folded: str) -> str:
+    return folded if folded.isascii() else folded.translate(_MARKS)
+
+
+def fold(text: str) -> str:
+    """Folded text with a space before every word."""
+    return unmarked(fold_marked(text))
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Terms, each the start of a word, with weights; exception phrases; the margin's coefficients."""
@@ -80,14 +95,31 @@ class Lexicon:
         return found
 
 
-def _weighted_hits(folded: str, automaton: ahocorasick.Automaton) -> tuple[float, int]:
+def _marked_hits(marked: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, float]]:
+    """Start and length in the unmarked text, and weight, of the hits whose term has accents."""
+    found = sorted((end - length + 1, length, weight) for end, (length, weight) in automaton.iter(marked)
+                   if weight is not None)
+    hits, at, before = [], 0, 0
+    for start, length, weight in found:
+        plain = len(unmarked(marked[start:start + length]))
+        if plain < length:
+            before += len(unmarked(marked[at:start]))
+            at = start
+            hits.append((before, plain, weight))
+    return hits
+
+
+def _weighted_hits(marked: str, automaton: ahocorasick.Automaton) -> tuple[float, int]:
     """Sum of the weights of hits outside exceptions, the heaviest per word start; and their number."""
     hits: dict[int, tuple[int, float]] = {}
     safe = []
-    for end, (length, weight) in automaton.iter(folded):
-        start = end - length + 1
+    folded = unmarked(marked)
+    found = [(end - length + 1, length, weight) for end, (length, weight) in automaton.iter(folded)]
+    if len(folded) < len(marked):
+        found += _marked_hits(marked, automaton)
+    for start, length, weight in found:
         if weight is None:
-            safe.append((start, end))
+            safe.append((start, start + length - 1))
         elif weight >= hits.get(start, (0, 0.0))[1]:
             hits[start] = (length, weight)
     if safe:
@@ -99,20 +131,26 @@ def features(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
     """Weighted hits and weighted hits per hundred words, both on a log scale; the number of hits."""
     if not text:
         return 0.0, 0.0, 0
-    weight, n = _weighted_hits(fold(text), automaton) if len(automaton) else (0.0, 0)
+    weight, n = _weighted_hits(fold_marked(text), automaton) if len(automaton) else (0.0, 0)
     weight = max(0.0, weight)
     per_hundred = 100 * weight / max(10, text.count(" ") + 1)
     return float(np.log1p(weight)), float(np.log1p(per_hundred)), n
 
 
-def _terms(text: str) -> dict[str, str]:
-    """Whole words and their starts of 4 to 6 letters, each with the word before its first place."""
-    words = fold(text).split()
-    found: dict[str, str] = {}
-    for before, w in zip(["", *words], words):
-        if len(w) >= 4:
-            for t in {w[:4], w[:5], w[:6], w[:24]}:
-                found.setdefault(t, before)
+def _words(text: str) -> list[tuple[str, str]]:
+    """The folded words of a text, each with accents and without."""
+    pairs = [(w, unmarked(w)) for w in fold_marked(text).split()]
+    return [p for p in pairs if p[1]]
+
+
+def _starts(marked: str, plain: str) -> set[str]:
+    """A word's starts, with accents and without, and the empty one that every word has."""
+    found = {""}
+    if len(plain) >= _STARTS[0]:
+        found.update(plain[:k] for k in _STARTS)
+        if len(marked) > len(plain):
+            letters = [i for i, c in enumerate(marked) if ord(c) not in _MARKS] + [len(marked)]
+            found.update(marked[:letters[min(k, len(plain))]] for k in _STARTS)
     return found
 
 
@@ -120,12 +158,17 @@ def learn_terms(rows: DataFrame, text: str, exceptions: Sequence[str] = EXCEPTIO
                 seeds: Sequence[str] = SEEDS) -> dict[str, float]:
     """Terms over-represented in toxic rows, weighted by log odds, and the seeds.
 
-    A term counts once per clean document, and per toxic document once for each
-    different word before it: copies and shared passages of toxic documents
-    repeat the same neighbours, so their harmless words gather no weight. A
-    term is kept where so many toxic places without clean documents would be
-    unlikely for any of the terms tried. A start goes where one longer term has
-    nearly all of its places, else the longer terms go.
+    Terms are whole words and their starts, with their accents or without. A
+    clean document counts a term as often as it occurs, so one that is rare in
+    clean text may still count. Toxic documents count it once for each
+    different word with its neighbours: copies and shared passages repeat
+    these, so their harmless words gather no weight. A term is kept where so
+    large a toxic share of its places would be unlikely for any of the terms
+    tried, were its odds ``_LIFT`` times those of all words (Chernoff's bound).
+    A start goes where one longer term has nearly all of its places; of the
+    terms left that begin alike, the one with the strongest evidence stays.
+    Weights grow faster than the log odds, so that one sure hit outweighs
+    several that clean documents have too.
     """
     source = rows.select(quoted(text).alias("text"), F.col("label"))
     sizes = source.agg(F.sum("label").alias("toxic"), F.count("label").alias("n")).first()
@@ -136,37 +179,62 @@ def learn_terms(rows: DataFrame, text: str, exceptions: Sequence[str] = EXCEPTIO
 
     def places(batches):
         for batch in batches:
-            found = [x for t in batch.column(0).to_pylist() for x in _terms(t or "").items()]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()),
-                                              pa.array([x[1] for x in found], pa.string())], ["term", "before"])
+            for t in batch.column(0).to_pylist():
+                terms, at = [], []
+                words = _words(t or "")
+                plain = ["", *[w for _, w in words], ""]
+                for i, word in enumerate(words):
+                    found = _starts(*word)
+                    terms += found
+                    at += [xxhash.xxh3_64_intdigest(" ".join(plain[i:i + 3]).encode("utf-8", "replace"))] * len(found)
+                doc = xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "replace"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(terms, pa.string()), pa.array(np.array(at, np.uint64).view(np.int64)),
+                     pa.array(np.full(len(at), doc, np.uint64).view(np.int64))], ["term", "place", "doc"])
 
     def count(batches):
-        seen: Counter = Counter()
         for batch in batches:
+            words: Counter = Counter()
             for t in batch.column(0).to_pylist():
-                seen.update(_terms(t or "").keys())
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                         ["of", "clean"])
-
-    toxic = durable(source.where("label > 0").mapInArrow(places, "term string, before string").distinct()
-                    .groupBy("term").agg(F.count(F.lit(1)).alias("toxic")), "toxic-terms")
+                words.update(_words(t or ""))
+            seen: Counter = Counter()
+            for word, times in words.items():
+                for term in _starts(*word):
+                    seen[term] += times
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["of", "clean"])
+
+    toxic = (source.where("label > 0").mapInArrow(places, "term string, place long, doc long")
+             .groupBy("term", "place").agg(F.min("doc").alias("doc"))
+             .groupBy("term").agg(F.count(F.lit(1)).alias("toxic"), F.count_distinct("doc").alias("docs")))
     clean = (source.where("label = 0").mapInArrow(count, "of string, clean long")
              .groupBy("of").agg(F.sum("clean").alias("clean")))
-    surprise = float(-np.log(n_toxic / n))
-    least = float(np.log(max(toxic.count(), 2)))
-    likely = toxic.where(F.col("toxic") * surprise >= least)
-    odds = F.col("toxic") * F.lit(surprise) - F.col("clean") * F.lit(4 * surprise)
-    rows_kept = (likely.join(clean, F.col("term") == F.col("of"), "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
-                 .where(odds >= least).select("term", "toxic", "clean").collect())  # few of a bounded sample's terms
-    kept = {r["term"]: (r["toxic"], r["clean"]) for r in rows_kept}
+    terms = durable(toxic.join(clean, F.col("term") == F.col("of"), "left")
+                    .select("term", "toxic", "docs", F.coalesce("clean", F.lit(0)).alias("clean")), "toxic-terms")
+    every = terms.where("term = ''").first()
+    if every is None:
+        return weights
+    n_toxic, n_clean = every["toxic"], every["clean"]
+    least = float(np.log(max(terms.count(), 2)))
+    chance = _LIFT * (n_toxic + 1) / (_LIFT * (n_toxic + 1) + n_clean + 1)
+    share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    evidence = (F.col("toxic") * F.log(share / chance)
+                + F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - chance))).otherwise(0.0))
+    likely = terms.where((F.col("term") != "") & (F.col("docs") >= _DOCUMENTS) & (share > chance) & (evidence >= least))
+    kept = {r["term"]: r for r in likely.select("*", evidence.alias("evidence")).collect()}  # few of a bounded sample's
     for term in sorted(kept, key=len, reverse=True):
-        for k in (4, 5, 6):
-            if k < len(term) and term in kept and term[:k] in kept and kept[term][0] >= 0.9 * kept[term[:k]][0]:
+        for k in range(1, len(term)):
+            if term in kept and term[:k] in kept and kept[term]["toxic"] >= 0.9 * kept[term[:k]]["toxic"]:
                 del kept[term[:k]]
-    for term, (t, c) in kept.items():
-        if not any(term[:k] in kept for k in range(4, len(term))):
-            log_odds = np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n - n_toxic + 1))
-            weights[term] = float(np.clip(log_odds, 0.0, 8.0))
+    chosen: set[str] = set()
+    begun: set[str] = set()
+    for term in sorted(kept, key=lambda t: (-kept[t]["evidence"], t)):
+        if term not in begun and not any(term[:k] in chosen for k in range(1, len(term))):
+            chosen.add(term)
+            begun.update(term[:k] for k in range(1, len(term)))
+            log_odds = (np.log((kept[term]["toxic"] + 0.5) / (n_toxic + 1))
+                        - np.log((kept[term]["clean"] + 0.5) / (n_clean + 1)))
+            weights[term] = float(np.clip(log_odds, 0.0, 8.0) ** 1.5 / 8 ** 0.5)
     return weights
 
 
