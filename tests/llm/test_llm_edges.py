@@ -112,6 +112,23 @@ def test_toxicity_disguises():
     assert toxicity.features(None, automaton) == toxicity.features("", automaton) == (0.0, 0.0, 0)
 
 
+@pytest.mark.parametrize("text", ["1oser", "c1own", "worth1ess", "assho1e", "imbeci1e", "d!sgusting", "!diot",
+                                  "f.u.c.k", "id-iot", "f|u|c|k", "d|sgusting", "you, i.d.1.o.t", "so.id-iot", "ídi-öt", "f‑u‑ck"])
+def test_toxicity_disguised_seeds(text):
+    """Look-alike letters and single signs inside a word hide no seed, and such a word is one hit."""
+    automaton = toxicity.Lexicon({toxicity.fold(s).strip(): 3.0 for s in toxicity.SEEDS}).automaton()
+    assert toxicity.features(f"such a {text} here", automaton)[2] == 1
+
+
+def test_toxicity_signs():
+    automaton = toxicity.Lexicon({"idiot": 8.0, "loser": 8.0, toxicity.fold_marked("réeux").strip(): 2.0}).automaton()
+    for text, n in (("idiot-loser", 2), ("!idiot! loser!!", 2), ("great!idiot", 1), ("don't id", 0), ("id iot", 0),
+                    ("id--iot", 0), ("périd-iot", 0), ("ré-euxpa réeux reeux", 2), ("9 2 6", 0)):
+        assert toxicity.features(text, automaton)[2] == n, text
+    assert toxicity.fold("9rüp 6rip 2oo lI1") == " grup grip zoo iii"
+    assert toxicity.features("a." * 200_000 + "i" * 200_000 + " i.d.i.o.t" * 20_000, automaton)[2] == 20_000
+
+
 def test_fingerprints(docs):
     rows = fingerprints.with_next(docs, "doc_id", "text").collect()
     assert len(rows) == docs.count()

@@ -3,12 +3,15 @@
 Folding undoes common disguises: case, accents, letters of other scripts that
 look Latin, digits and signs that stand for letters, invisible characters. The
 automaton finds lexicon terms at word starts, in the folded text and in the text
-with its accents kept; hits inside exception phrases do not count. The weighted
-hits, alone and by length, give the score.
+with its accents kept, and across single signs inside words; hits inside
+exception phrases do not count. The weighted hits, alone and by length, give the
+score.
 """
 
 from __future__ import annotations
 
+import re
+import string
 import unicodedata
 from collections import Counter
 from collections.abc import Mapping, Sequence
@@ -43,30 +46,51 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "trash collection", "clown
 LOOKALIKES = {"а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "м": "m",
               "н": "h", "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ѡ": "w", "ɡ": "g", "ı": "i",
               "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t",
-              "υ": "u", "χ": "x", "ω": "w", "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d"}
-SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "€": "e"}
+              "υ": "u", "χ": "x", "ω": "w", "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "i", "đ": "d"}
+# L, 1 and i look alike, so they are one letter.
+SIGNS = {"0": "o", "1": "i", "l": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
+         "@": "a", "$": "s", "€": "e"}
+# Signs that may cut a word in two, of which some stand for i; and others that read as a hyphen.
+_CUTS = "".join(c for c in string.punctuation if c not in SIGNS)
+_STROKES = "!|"
+_HYPHENS = (0xB7, *range(0x2010, 0x2016), 0x2018, 0x2019, 0x2022, 0x2027)
+_REACH = 32  # letters of a term that are looked for across signs
 
 
 def _table() -> dict[int, str | None]:
-    table: dict[int, str | None] = {c: " " for c in range(128) if not chr(c).isalnum()}
+    table: dict[int, str | None] = {c: " " for c in range(128) if not chr(c).isalnum() and chr(c) not in _CUTS}
     table.update({ord(a): b for a, b in [*LOOKALIKES.items(), *SIGNS.items()]})
     table.update({c: None for c in (0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF)})
     table.update({c: " " for c in (*range(0x2010, 0x2060), 0xA0, 0xA1, 0xAB, 0xB7, 0xBB, 0xBF)})
+    table.update(dict.fromkeys(_HYPHENS, "-"))
     return table
 
 
 _FOLD = _table()
 _MARKS = dict.fromkeys(range(0x300, 0x370))
-
-
-def fold_marked(text: str) -> str:
-    """Folded text with a space before every word, each accent behind its letter."""
+_SPACED = {ord(c): " " for c in _CUTS}
+_DROPPED = {ord(c): None for c in _CUTS}
+_STROKED = _DROPPED | {ord(c): "i" for c in _STROKES}
+_CUT, _LETTER = f"[{re.escape(_CUTS)}]", rf"[^\s{re.escape(_CUTS)}]"
+# Words cut by single signs, or led by a stroke; possessive, so long words are read once.
+_CUT_WORDS = re.compile(f"(?<!{_LETTER})(?:[{_STROKES}]{_LETTER}++(?:{_CUT}{_LETTER}++)*+"
+                        f"|{_LETTER}++(?:{_CUT}{_LETTER}++)++)")
+_FIRST_CUT = re.compile(_CUT)
+
+
+def fold_signed(text: str) -> str:
+    """Folded text with a space before it, each accent behind its letter, and the signs that may cut words."""
     low = text.lower()
     if not low.isascii():
         low = unicodedata.normalize("NFKD", low)
     return " " + low.translate(_FOLD)
 
 
+def fold_marked(text: str) -> str:
+    """Folded text with a space before every word, each accent behind its letter."""
+    return fold_signed(text).translate(_SPACED)
+
+
 def unmarked(folded: str) -> str:
     return folded if folded.isascii() else folded.translate(_MARKS)
 
@@ -87,36 +111,61 @@ class Lexicon:
 
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
-        for term, weight in self.weights.items():
-            found.add_word(" " + term, (len(term), weight))
+        for term, weight in sorted(self.weights.items(), key=lambda x: x[1]):  # of terms that fold alike, the heaviest
+            folded = fold_marked(term)
+            found.add_word(folded, (len(folded) - 1, weight))
         for phrase in self.exceptions:
-            found.add_word(fold(phrase), (len(phrase), None))
+            folded = fold(phrase)
+            found.add_word(folded, (len(folded) - 1, None))
         found.make_automaton()
         return found
 
 
 def _marked_hits(marked: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, float]]:
-    """Start and length in the unmarked text, and weight, of the hits whose term has accents."""
-    found = sorted((end - length + 1, length, weight) for end, (length, weight) in automaton.iter(marked)
-                   if weight is not None)
-    hits, at, before = [], 0, 0
-    for start, length, weight in found:
-        plain = len(unmarked(marked[start:start + length]))
-        if plain < length:
-            before += len(unmarked(marked[at:start]))
-            at = start
-            hits.append((before, plain, weight))
+    """Start, length without accents, and weight of the hits whose term has accents."""
+    found = ((end - length + 1, length, weight) for end, (length, weight) in automaton.iter(marked)
+             if weight is not None)
+    plain = ((start, len(unmarked(marked[start:start + length])), length, weight) for start, length, weight in found)
+    return [(start, short, weight) for start, short, length, weight in plain if short < length]
+
+
+def _cut_hits(signed: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, float]]:
+    """Start, length and weight of the hits that go over a sign inside a word: dropped, or a stroke read as i."""
+    hits = []
+    for run in _CUT_WORDS.finditer(signed):
+        word = run.group()
+        for at in (0, *[m.end() for m in _FIRST_CUT.finditer(word, 1)]):
+            piece = word[at:at + 4 * _REACH]
+            first = _FIRST_CUT.search(piece)
+            if not first:
+                continue
+            tables = [_DROPPED] if first.start() else []
+            if any(c in piece for c in _STROKES):
+                tables.append(_STROKED)
+            for table in tables:
+                read, before = piece.translate(table), piece[:first.start()]
+                for letters, cut in {(read, len(before)), (unmarked(read), len(unmarked(before)))}:
+                    hits += [(run.start() + at, length, weight) for end, (length, weight)
+                             in automaton.iter(" " + letters)
+                             if weight is not None and end == length and length > cut]
     return hits
 
 
-def _weighted_hits(marked: str, automaton: ahocorasick.Automaton) -> tuple[float, int]:
+def _weighted_hits(signed: str, automaton: ahocorasick.Automaton) -> tuple[float, int]:
     """Sum of the weights of hits outside exceptions, the heaviest per word start; and their number."""
     hits: dict[int, tuple[int, float]] = {}
     safe = []
+    marked = signed.translate(_SPACED)
     folded = unmarked(marked)
     found = [(end - length + 1, length, weight) for end, (length, weight) in automaton.iter(folded)]
+    others = _cut_hits(signed, automaton)
     if len(folded) < len(marked):
-        found += _marked_hits(marked, automaton)
+        others += _marked_hits(marked, automaton)
+    at = before = 0
+    for start, length, weight in sorted(others):
+        before += len(unmarked(marked[at:start]))
+        at = start
+        found.append((before, length, weight))
     for start, length, weight in found:
         if weight is None:
             safe.append((start, start + length - 1))
@@ -131,7 +180,7 @@ def features(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
     """Weighted hits and weighted hits per hundred words, both on a log scale; the number of hits."""
     if not text:
         return 0.0, 0.0, 0
-    weight, n = _weighted_hits(fold_marked(text), automaton) if len(automaton) else (0.0, 0)
+    weight, n = _weighted_hits(fold_signed(text), automaton) if len(automaton) else (0.0, 0)
     weight = max(0.0, weight)
     per_hundred = 100 * weight / max(10, text.count(" ") + 1)
     return float(np.log1p(weight)), float(np.log1p(per_hundred)), n
