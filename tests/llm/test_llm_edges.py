@@ -141,6 +141,17 @@ def test_fingerprints(docs):
     assert all(r["like"] == 1.0 for r in appended.collect())
 
 
+@pytest.mark.parametrize("repeats", [40_000, 70_000, 140_000])
+def test_fingerprint_of_many_repeats(spark, repeats):
+    """Half of a text of one word, repeated beyond 16 bits, is still like the whole."""
+    rows = [(1, "w " * repeats), (2, " ".join(f"other{i}" for i in range(50)) + " " * 10 * repeats)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    near = {r["doc_id"]: r["near_edited"] for r in fingerprints.with_next(df, "doc_id", "text").collect()}
+    assert near[1] > 0.99
+    whole = fingerprints.fingerprint_of("\n".join(["w " * repeats] * 2))
+    assert fingerprints.combined(whole, "w " * repeats, -1) == fingerprints.fingerprint_of("w " * repeats)
+
+
 def test_fingerprint_updates():
     whole = fingerprints.fingerprint_of("one two\nthree four five six\nseven")
     assert whole == fingerprints.fingerprint_of("seven\none two\nthree four five six")

@@ -1,7 +1,8 @@
 """Homomorphic multiset fingerprints of documents.
 
 A paragraph hashes to a wide vector: eight uniform lanes modulo 2**64, and 256
-lanes modulo 2**16 that are a signed count sketch of its word triples. A
+lanes modulo 2**32 that are a signed count sketch of its word triples (a text
+of Spark's size has fewer words than their sign leaves room for). A
 document's fingerprint is the lane-wise sum over its paragraphs. Sums do not
 depend on order; adding or taking away a paragraph's vector updates one without
 the rest of the text. The uniform lanes decide equality; the sketch lanes give
@@ -54,7 +55,7 @@ def _hashes() -> WordHashes:
 
 
 def vectors(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Wide lanes (n x 8, uint64) and sketch lanes (n x 256, uint16) of each text."""
+    """Wide lanes (n x 8, uint64) and sketch lanes (n x 256, uint32) of each text."""
     digests, counts, words, lengths, of_doc = [], [], [], [], []
     for i, text in enumerate(texts):
         paragraphs = text.encode("utf-8", "surrogatepass").split(b"\n")
@@ -91,20 +92,20 @@ def vectors(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         lane = doc * SKETCH + (feature & np.uint64(SKETCH - 1)).astype(np.int64)
         sign = ((feature >> np.uint64(40)) & np.uint64(1)).astype(np.int64) * 2 - 1
         sketch = np.bincount(lane, weights=sign, minlength=n * SKETCH).astype(np.int64)
-    return wide, sketch.reshape(n, SKETCH).astype(np.uint16)
+    return wide, sketch.reshape(n, SKETCH).astype(np.uint32)
 
 
 def to_text(wide: np.ndarray, sketch: np.ndarray) -> list[str]:
     """Fingerprints as base64 of their lanes, little endian."""
-    return [base64.b64encode(w.astype("<u8").tobytes() + s.astype("<u2").tobytes()).decode()
+    return [base64.b64encode(w.astype("<u8").tobytes() + s.astype("<u4").tobytes()).decode()
             for w, s in zip(wide, sketch)]
 
 
 def from_text(fingerprints: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = [base64.b64decode(f) for f in fingerprints]
-    data = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), 8 * WIDE + 2 * SKETCH)
+    data = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), 8 * WIDE + 4 * SKETCH)
     return (np.ascontiguousarray(data[:, :8 * WIDE]).view("<u8"),
-            np.ascontiguousarray(data[:, 8 * WIDE:]).view("<u2"))
+            np.ascontiguousarray(data[:, 8 * WIDE:]).view("<u4"))
 
 
 def fingerprint_of(text: str) -> str:
@@ -119,7 +120,7 @@ def combined(fingerprint: str, paragraph: str, sign: int = 1) -> str:
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Cosine of the sketches, from 0 to 1; 1 where all lanes are equal."""
-    x, y = a[1].astype(np.int16).astype(np.float64), b[1].astype(np.int16).astype(np.float64)
+    x, y = a[1].astype(np.int32).astype(np.float64), b[1].astype(np.int32).astype(np.float64)
     norm = np.sqrt((x * x).sum(1) * (y * y).sum(1))
     cosine = np.divide((x * y).sum(1), norm, out=np.zeros(len(x)), where=norm > 0)
     same = (a[0] == b[0]).all(1) & (a[1] == b[1]).all(1)
