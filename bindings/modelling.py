@@ -238,16 +238,20 @@ def q_trial_bounds(spark, sf_dir) -> DataFrame:
     return drawn.agg(F.count(F.lit(1)).alias("trials"), F.count_if(inside).alias("inside"))
 
 
-def q_run_trials(spark, sf_dir) -> DataFrame:
-    run = (spark.sparkContext.applicationId, sf_dir, "tune")
+def _tuned(spark, sf_dir, **settings) -> DataFrame:
+    run = (spark.sparkContext.applicationId, sf_dir, "tune", *settings.items())
     if run not in _FITTED:
-        _FITTED[run] = tune(featured(spark, sf_dir), "lgb", 2)[0]
+        _FITTED[run] = tune(featured(spark, sf_dir), "lgb", **settings)[0]
     return _FITTED[run]
 
 
+def q_run_trials(spark, sf_dir) -> DataFrame:
+    return _tuned(spark, sf_dir)
+
+
 def q_run_trials_drawn(spark, sf_dir) -> DataFrame:
-    """The configurations the trials ran with, and whether each got a score that average precision can take."""
-    ran = q_run_trials(spark, sf_dir)
+    """The configurations two trials ran with, as its SQL asks for, and whether each got a score in its range."""
+    ran = _tuned(spark, sf_dir, n_trials=2)
     floats = [f"params_{n}" for n, spec in search.SPACES["lgb"].items() if isinstance(spec, search.FloatRange)]
     return (ran.withColumns({c: F.round(c, 9) for c in floats})
             .withColumn("scored", F.col("value").between(0, 1) & ~F.isnan("value")).drop("value"))

@@ -1,9 +1,12 @@
 """Compositions, sources and sinks, contracts, and the shape of the plans."""
 
+import inspect
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bindings import modelling
 from bindings.check import compare, connect
 from bindings.encounters import encounters, raw_encounters
 from wardlens import session
@@ -221,3 +224,18 @@ def test_release_removes_the_scratch_folder(spark, tmp_path, monkeypatch):
     assert session.durable(spark.range(3), "r").count() == 3 and list(tmp_path.iterdir())
     session.release_scratch(spark)
     assert not list(tmp_path.iterdir())
+
+
+def test_trials_query_runs_every_trial(spark, small, monkeypatch):
+    """The registered search runs as many trials as the operator does by default."""
+    asked = []
+
+    def spy(*args, **settings):
+        call = inspect.signature(tune).bind(*args, **settings)
+        call.apply_defaults()
+        asked.append(call.arguments["n_trials"])
+        return spark.range(call.arguments["n_trials"]).toDF("trial"), None
+
+    monkeypatch.setattr(modelling, "tune", spy)
+    monkeypatch.setattr(modelling, "_FITTED", {})
+    assert entry.queries()["run_trials"](spark, small).count() == 20 and asked == [20]
