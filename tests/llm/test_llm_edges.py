@@ -120,6 +120,14 @@ def test_toxicity_disguised_seeds(text):
     assert toxicity.features(f"such a {text} here", automaton)[2] == 1
 
 
+def test_toxicity_exceptions_are_whole_words():
+    automaton = toxicity.Lexicon({"trash": 8.0}).automaton()
+    for text in ("this trash can't", "this trash can’t talk", "the trash cannot", "a trash candidate"):
+        assert toxicity.features(text, automaton)[2] == 1, text
+    for text in ("a trash can", "two trash cans!", "the trash can's lid", "trash-can", "trash can, trash bag"):
+        assert toxicity.features(text, automaton)[2] == 0, text
+
+
 def test_toxicity_signs():
     automaton = toxicity.Lexicon({"idiot": 8.0, "loser": 8.0, toxicity.fold_marked("réeux").strip(): 2.0}).automaton()
     for text, n in (("idiot-loser", 2), ("!idiot! loser!!", 2), ("great!idiot", 1), ("don't id", 0), ("id iot", 0),

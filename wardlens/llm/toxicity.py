@@ -76,6 +76,7 @@ _CUT, _LETTER = f"[{re.escape(_CUTS)}]", rf"[^\s{re.escape(_CUTS)}]"
 _CUT_WORDS = re.compile(f"(?<!{_LETTER})(?:[{_STROKES}]{_LETTER}++(?:{_CUT}{_LETTER}++)*+"
                         f"|{_LETTER}++(?:{_CUT}{_LETTER}++)++)")
 _FIRST_CUT = re.compile(_CUT)
+_NOT = re.compile(f"{_CUT}t(?!{_LETTER})")  # the end of can't
 
 
 def fold_signed(text: str) -> str:
@@ -115,8 +116,9 @@ class Lexicon:
             folded = fold_marked(term)
             found.add_word(folded, (len(folded) - 1, weight))
         for phrase in self.exceptions:
-            folded = fold(phrase)
-            found.add_word(folded, (len(folded) - 1, None))
+            for ending in (" ", "s ", "es "):
+                folded = fold(phrase) + ending
+                found.add_word(folded, (len(folded) - 1, None))
         found.make_automaton()
         return found
 
@@ -156,8 +158,8 @@ def _weighted_hits(signed: str, automaton: ahocorasick.Automaton) -> tuple[float
     hits: dict[int, tuple[int, float]] = {}
     safe = []
     marked = signed.translate(_SPACED)
-    folded = unmarked(marked)
-    found = [(end - length + 1, length, weight) for end, (length, weight) in automaton.iter(folded)]
+    plain, folded = unmarked(signed), unmarked(marked)
+    found = [(end - length + 1, length, weight) for end, (length, weight) in automaton.iter(folded + " ")]
     others = _cut_hits(signed, automaton)
     if len(folded) < len(marked):
         others += _marked_hits(marked, automaton)
@@ -168,7 +170,8 @@ def _weighted_hits(signed: str, automaton: ahocorasick.Automaton) -> tuple[float
         found.append((before, length, weight))
     for start, length, weight in found:
         if weight is None:
-            safe.append((start, start + length - 1))
+            if not _NOT.match(plain, start + length - 1):
+                safe.append((start, start + length - 1))
         elif weight >= hits.get(start, (0, 0.0))[1]:
             hits[start] = (length, weight)
     if safe:
