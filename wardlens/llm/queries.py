@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm import bpe, fingerprints, jaccard, mixing, rules, sharding, sitequality, tokenbin, toxicity, warc
+from wardlens.llm import (audit, bpe, credentials, fingerprints, importance, jaccard, mixing, rules, sharding, sitequality,
+                          tokenbin, toxicity, warc)
 from wardlens.llm.common import held_out
+from wardlens.llm.oracles import ORACLES  # noqa: F401  read beside QUERIES
 from wardlens.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -78,7 +80,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(audit.combinations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
+def op13_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_ngram_jaccard, op3_toxicity, op4_warc, op5_fingerprints, op6_site_quality, op7_token_files,
-    op8_decision_list, op9_bpe, op10_sharding)}
-ORACLES: dict[str, str] = {}
+    op8_decision_list, op9_bpe, op10_sharding, op11_importance, op12_filter_audit, op13_credentials)}
