@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, repeated rows, clashing columns and empty tables, for every operator and stage."""
 
+import gzip
 import hashlib
 import zlib
 from collections import Counter
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from wardlens.llm import (bpe, fingerprints, jaccard, mixing, rules, sharding, sitequality, stats, tokenbin, toxicity,
+from wardlens.llm import (bpe, common, fingerprints, jaccard, mixing, rules, sharding, sitequality, stats, tokenbin, toxicity,
                           warc)
 from wardlens.session import scratch_path
 
@@ -280,6 +281,29 @@ def test_long_pages_share_fewer_files(spark):
     assert all(r["payload_bytes"] == 2000 * len(str(r["page_id"])) for r in index)
 
 
+def test_archive_members(spark):
+    """Any gzip reader unpacks a file, and offset and length of an entry give its record alone."""
+    pages = spark.createDataFrame([(i, f"https://www.b.org/{i}", "é\r\n\r\nWARC/1.1 " * (i % 3 * 20)) for i in range(30)],
+                                  "page_id long, url string, html string")
+    folder = scratch_path(spark, "members")
+    warc.write(pages, folder, records_per_file=4)
+    files = {r["path"].rsplit("/", 1)[-1]: bytes(r["content"]) for r in spark.read.format("binaryFile").load(folder).collect()}
+    assert sum(gzip.decompress(data).count(b"WARC-Record-ID") for data in files.values()) == 30
+    for e in warc.merged_index(spark, folder, entries_per_slice=7).collect():
+        headers, block = warc.record(gzip.decompress(files[e["file"]][e["offset"]:e["offset"] + e["length"]]))
+        assert headers["WARC-Record-ID"] == f"<urn:page:{e['page_id']}>"
+        assert e["record_type"] == ("revisit" if e["page_id"] > 2 and e["page_id"] % 3 else "response")
+        assert block.endswith(b"WARC/1.1 ") == (e["page_id"] in (1, 2))
+
+
+@pytest.mark.parametrize("n", [0, 1, 40, 9000])
+def test_hash_filter_lets_every_key_through(spark, n):
+    keys = spark.range(n).select(F.xxhash64("id").alias("h"))
+    rows = spark.range(20_000).select("id", F.xxhash64("id").alias("hash")).union(spark.sql("SELECT -1L, CAST(NULL AS LONG)"))
+    marked = common.with_possible(rows, "hash", keys, "h").where("possible").collect()
+    assert set(range(n)) <= {r["id"] for r in marked} and len(marked) <= n + 0.1 * 20_000
+
+
 def test_loser_tree():
     rng = np.random.default_rng(5)
     for k in (0, 1, 2, 3, 7, 16):

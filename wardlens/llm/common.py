@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.functions.scalar import quoted
+from wardlens.session import durable
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
@@ -90,6 +91,32 @@ def range_of(key: Column, bounds: Sequence) -> Column:
             .otherwise((block - 1) * step + inside)).cast("int")
 
 
+MOST_FILTER_BITS = 1 << 28  # 32 MB
+
+
+def with_possible(df: DataFrame, hash_: str, keys: DataFrame, key_hash: str, name: str = "possible") -> DataFrame:
+    """Add ``name``, false only where no row of ``keys`` has the row's hash; null hashes are false.
+
+    A filter of one bit per hash, sixteen per key, as a table of bitmaps that
+    is broadcast: 32 MB at most, whatever the number of keys. Where that is too
+    small more rows pass; what must be exact is decided by a join afterwards,
+    which wide rows that cannot match then never enter.
+    """
+    size = min(MOST_FILTER_BITS, 1 << max(15, (16 * keys.count()).bit_length()))
+
+    def place(h: str) -> Column:
+        return F.pmod(F.col(h), F.lit(size)) + 1
+
+    bitmaps = durable(
+        keys.groupBy(F.bitmap_bucket_number(place(key_hash)).alias("__bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place(key_hash))).alias("__bits")), "hash-filter")
+    at = F.bitmap_bit_position(place(hash_))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2
+    met = df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(place(hash_)) == F.col("__bucket"), "left")
+    return met.withColumn(name, F.coalesce(bit == 1, F.lit(False))).drop("__bucket", "__bits")
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
