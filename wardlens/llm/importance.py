@@ -163,7 +163,8 @@ def resample(docs: DataFrame, target: DataFrame, *, key: str = "doc_id", text: s
     wanted = with_counts(target.select(quoted(target_text).alias("__text")), "__text", buckets, longest)
     gain = gains(counted, wanted, buckets)
     drawn = counted.where(F.col("n_words") >= min_words).count() * percent // 100
-    scored = (with_weights(counted, gain).withColumn("score", (F.col("weight") + noise(key, seed)).cast("long"))
+    weighed = durable(with_weights(counted, gain), "weights")  # the sort samples its input first
+    scored = (weighed.withColumn("score", (F.col("weight") + noise(key, seed)).cast("long"))
               .withColumn("__short", F.col("n_words") < min_words).withColumn("__down", -F.col("score"))
               .withColumn("__unnamed", quoted(key).isNull()))
     placed = ordered_index(scored, ["__short", "__down", "__unnamed", key], "__rank")
