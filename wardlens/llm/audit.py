@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.functions.scalar import quoted
-from wardlens.llm.common import WORD
+from wardlens.llm.common import WORD, with_possible
 from wardlens.session import durable
 
 MAX_FILTERS = 6  # orders grow as the factorial
@@ -43,13 +43,15 @@ def copies_of_smaller(rows: DataFrame, hashes: DataFrame, key: str, text: str, h
     """The rows whose text equals that of a row with a smaller key.
 
     ``hashes`` holds key and hash of every row, without texts: hashes that only
-    one key has are settled there, and only texts of the others are compared.
+    one key has are settled there, and only texts that a filter of the others lets
+    through are moved and compared.
     Rows without a key neither fail nor make others fail. Both right sides are
     written tables, so Spark plans their joins from true sizes.
     """
     repeated = durable(hashes.groupBy(hash_).agg(F.min(key).alias("__least"), F.max(key).alias("__most"))
                        .where("__least < __most").select(F.col(hash_).alias("__hash")), "repeated-hashes")
-    candidates = rows.where(quoted(key).isNotNull()).join(repeated, quoted(hash_) == F.col("__hash"), "left_semi")
+    possible = with_possible(rows.where(quoted(key).isNotNull()), hash_, repeated, "__hash").where("possible").drop("possible")
+    candidates = possible.join(repeated, quoted(hash_) == F.col("__hash"), "left_semi")
     firsts = durable(candidates.groupBy(quoted(hash_).alias("__hash"), quoted(text).alias("__text"))
                      .agg(F.min(key).alias("__first")), "first-copies")
     return candidates.join(firsts, (quoted(hash_) == F.col("__hash")) & (quoted(text) == F.col("__text"))
