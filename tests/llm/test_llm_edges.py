@@ -121,6 +121,24 @@ def test_toxicity_disguised_seeds(text):
     assert toxicity.features(f"such a {text} here", automaton)[2] == 1
 
 
+def test_toxicity_length_is_words():
+    """What separates words, and how often, does not change a score."""
+    automaton = toxicity.Lexicon({"idiot": 8.0}).automaton()
+    words = ["idiot"] + [f"word{i}" for i in range(400)]
+    found = {toxicity.features(by.join(words), automaton) for by in (" ", "\n", "\t", "  ", " \r\n")}
+    assert len(found) == 1 and found.pop()[2] == 1
+
+
+def test_toxicity_power_errors(spark):
+    """Cross-validation never reads held-out rows."""
+    rows = [(i, f"plain words number {i} here" + (f" nasty thing{i}" if i % 2 else ""), i % 2) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2] if zlib.crc32(str(r[0]).encode()) % 3 != 1 else 1 - r[2]) for r in rows],
+                                   "doc_id long, toxic int")
+    errors = toxicity.power_errors(docs, labels, (1.0, 3.0), folds=2)
+    assert set(errors) == {1.0, 3.0} and all(e[:2] == (0, 0) and e[2] < 0.1 for e in errors.values())
+
+
 def test_toxicity_exceptions_are_whole_words():
     automaton = toxicity.Lexicon({"trash": 8.0}).automaton()
     for text in ("this trash can't", "this trash can’t talk", "the trash cannot", "a trash candidate"):

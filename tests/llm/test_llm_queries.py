@@ -1,6 +1,7 @@
 """The registered text queries against plain Python on a small table."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -10,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from wardlens.llm import fingerprints, queries
+from wardlens.llm import fingerprints, queries, toxicity
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -100,6 +101,73 @@ def test_toxicity(spark, medium, docs):
     assert sum(rows[i]["predicted"] for i in toxic) >= 0.9 * len(toxic)
 
 
+def plain_features(text, lexicon):
+    """Weight and words of a text, by comparing every term at every place."""
+    signed = toxicity.fold_signed(text or "")
+    cuts, strokes, mark = set(toxicity._CUTS), set("!|"), re.compile("[\u0300-\u036f]")
+    terms = [(toxicity.fold_marked(t)[1:], w) for t, w in lexicon.weights.items()]
+    phrases = [toxicity.fold(p)[1:] + e for p in lexicon.exceptions for e in (" ", "s ", "es ")]
+    hits, safe = {}, []
+    for i in range(1, len(signed)):
+        before, here = signed[i - 1], signed[i]
+        if before not in cuts and before != " " or mark.match(here):
+            continue
+        spaced = "".join(" " if c in cuts else c for c in signed[i:i + 400]) + " "
+        found = []
+        for reading in {spaced, mark.sub("", spaced)}:
+            found += [(len(mark.sub("", t)), w) for t, w in terms if reading.startswith(t)]
+        for as_i in (False, True):
+            read, at, crossed = "", i, False
+            while at < len(signed) and signed[at] != " ":
+                c = signed[at]
+                if c in cuts:
+                    if at + 1 >= len(signed) or signed[at + 1] in cuts or signed[at + 1] == " " or (at == i and not (as_i and c in strokes)):
+                        break
+                    crossed = crossed or len(mark.sub("", read))
+                    crossed = 0 if at == i else crossed
+                    read += "i" if as_i and c in strokes else ""
+                    first = True
+                else:
+                    read, first = read + c, False
+                at += 1
+            if crossed is not False:
+                for reading in {read, mark.sub("", read)}:
+                    found += [(len(mark.sub("", t)), w) for t, w in terms
+                              if reading.startswith(t) and len(mark.sub("", t)) > crossed]
+        if found and (best := max(found, key=lambda f: (f[1], f[0]))):
+            hits[i] = best
+        plain = mark.sub("", spaced)
+        for p in phrases:
+            if plain.startswith(p):
+                rest = mark.sub("", signed[i:])[len(p) - 1:]
+                if not (rest[:1] in cuts and rest[1:2] == "t" and (len(rest) < 3 or rest[2] in cuts or rest[2].isspace())):
+                    safe.append((i, len(p) - 1))
+    total = 0.0
+    for i, (length, weight) in hits.items():
+        if not any(a <= i and len(mark.sub("", signed[a:i])) + length <= n for a, n in safe):
+            total += weight
+    return total, len(WORDS.findall(text or ""))
+
+
+def plain_score(text, lexicon):
+    weight, words = plain_features(text, lexicon)
+    a, b, c = lexicon.coefficients
+    return 1 / (1 + math.exp(-(a * math.log1p(weight) + b * math.log1p(100 * weight / max(10, words)) + c)))
+
+
+def test_toxicity_scores_by_brute_force(spark, medium, docs):
+    learned = toxicity.learn(spark.read.parquet(f"{medium}/documents.parquet"), spark.read.parquet(f"{medium}/labels.parquet"))
+    wider = toxicity.Lexicon({**learned.weights, "the": 1.0, "ion": 0.5, "ré": 0.7, "re": 0.4, "ti": 0.3}, toxicity.EXCEPTIONS)
+    extra = ["the trash can, a trash-can and trash", "id-iot f.u.c.k !diot i.d.i.o.t id--iot réeux ré-eux reeux", "", "a ", "trash can't"]
+    texts = [docs[i]["text"] for i in sorted(docs)]
+    texts = [t for t in texts if len(t) < 6000] + extra
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    for lexicon in (learned, wider):
+        got = {r["id"]: r["score"] for r in toxicity.score(table, lexicon).collect()}
+        for i, t in enumerate(texts):
+            assert got[i] == pytest.approx(plain_score(t, lexicon), abs=1e-9), t[:200]
+
+
 def test_toxicity_in_every_language(spark):
     """Held-out recall of each language, where starts of toxic words turn up in clean documents too."""
     folder = "/root/testdata/sf0.1"

@@ -33,7 +33,8 @@ from wardlens.session import durable
 SAMPLE = 12_000
 THRESHOLD = 0.7
 _SEED_WEIGHT = 3.0
-_STARTS = (3, 4, 5, 6, 24)  # letters of a word's starts; the last stands for the whole word
+POWER = 1.0  # of the log odds in a term's weight; fewest wrong decisions of ``power_errors`` on sf0.1
+_STARTS = (3, 4, 5, 6)  # letters of a word's starts that are tried as terms, beside the whole word
 _DOCUMENTS = 3  # a term needs so many toxic documents
 _LIFT = 2.0  # and odds above so many times those of any word
 
@@ -67,10 +68,13 @@ def _table() -> dict[int, str | None]:
 
 
 _FOLD = _table()
-_MARKS = dict.fromkeys(range(0x300, 0x370))
-_SPACED = {ord(c): " " for c in _CUTS}
+_MARK = re.compile("[\u0300-\u036f]+")
 _DROPPED = {ord(c): None for c in _CUTS}
 _STROKED = _DROPPED | {ord(c): "i" for c in _STROKES}
+# Bytes below 128 fold and part words by table; letters outside ASCII that fold are few, so they are looked for.
+_BYTES = bytes(ord(_FOLD.get(b, chr(b))) if b < 128 else b for b in range(256))
+_SPACED = bytes(32 if chr(b) in _CUTS else b for b in range(256))
+_FOREIGN = re.compile("[" + "".join(chr(c) for c in _FOLD if c >= 128) + "]")
 _CUT, _LETTER = f"[{re.escape(_CUTS)}]", rf"[^\s{re.escape(_CUTS)}]"
 # Words cut by single signs, or led by a stroke; possessive, so long words are read once.
 _CUT_WORDS = re.compile(f"(?<!{_LETTER})(?:[{_STROKES}]{_LETTER}++(?:{_CUT}{_LETTER}++)*+"
@@ -84,16 +88,22 @@ def fold_signed(text: str) -> str:
     low = text.lower()
     if not low.isascii():
         low = unicodedata.normalize("NFKD", low)
-    return " " + low.translate(_FOLD)
+    folded = _by_bytes(low, _BYTES)
+    return " " + (folded if folded.isascii() else _FOREIGN.sub(lambda m: _FOLD[ord(m[0])] or "", folded))
+
+
+def _by_bytes(text: str, table: bytes) -> str:
+    """``text`` with its ASCII characters replaced by table; far faster than str.translate outside ASCII."""
+    return text.encode("utf-8", "surrogatepass").translate(table).decode("utf-8", "surrogatepass")
 
 
 def fold_marked(text: str) -> str:
     """Folded text with a space before every word, each accent behind its letter."""
-    return fold_signed(text).translate(_SPACED)
+    return _by_bytes(fold_signed(text), _SPACED)
 
 
 def unmarked(folded: str) -> str:
-    return folded if folded.isascii() else folded.translate(_MARKS)
+    return folded if folded.isascii() else _MARK.sub("", folded)
 
 
 def fold(text: str) -> str:
@@ -157,7 +167,7 @@ def _weighted_hits(signed: str, automaton: ahocorasick.Automaton) -> tuple[float
     """Sum of the weights of hits outside exceptions, the heaviest per word start; and their number."""
     hits: dict[int, tuple[int, float]] = {}
     safe = []
-    marked = signed.translate(_SPACED)
+    marked = _by_bytes(signed, _SPACED)
     plain, folded = unmarked(signed), unmarked(marked)
     found = [(end - length + 1, length, weight) for end, (length, weight) in automaton.iter(folded + " ")]
     others = _cut_hits(signed, automaton)
@@ -185,7 +195,7 @@ def features(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
         return 0.0, 0.0, 0
     weight, n = _weighted_hits(fold_signed(text), automaton) if len(automaton) else (0.0, 0)
     weight = max(0.0, weight)
-    per_hundred = 100 * weight / max(10, text.count(" ") + 1)
+    per_hundred = 100 * weight / max(10, len(text.encode("utf-8", "surrogatepass").split()))
     return float(np.log1p(weight)), float(np.log1p(per_hundred)), n
 
 
@@ -199,16 +209,15 @@ def _starts(marked: str, plain: str) -> set[str]:
     """A word's starts, with accents and without, and the empty one that every word has."""
     found = {""}
     if len(plain) >= _STARTS[0]:
-        found.update(plain[:k] for k in _STARTS)
+        found.update([plain, *[plain[:k] for k in _STARTS]])
         if len(marked) > len(plain):
-            letters = [i for i, c in enumerate(marked) if ord(c) not in _MARKS] + [len(marked)]
-            found.update(marked[:letters[min(k, len(plain))]] for k in _STARTS)
+            letters = [i for i, c in enumerate(marked) if not _MARK.match(c)] + [len(marked)]
+            found.update([marked, *[marked[:letters[min(k, len(plain))]] for k in _STARTS]])
     return found
 
 
-def learn_terms(rows: DataFrame, text: str, exceptions: Sequence[str] = EXCEPTIONS,
-                seeds: Sequence[str] = SEEDS) -> dict[str, float]:
-    """Terms over-represented in toxic rows, weighted by log odds, and the seeds.
+def learn_terms(rows: DataFrame, text: str) -> dict[str, float]:
+    """Terms over-represented in toxic rows, with their log odds.
 
     Terms are whole words and their starts, with their accents or without. A
     clean document counts a term as often as it occurs, so one that is rare in
@@ -219,15 +228,12 @@ def learn_terms(rows: DataFrame, text: str, exceptions: Sequence[str] = EXCEPTIO
     tried, were its odds ``_LIFT`` times those of all words (Chernoff's bound).
     A start goes where one longer term has nearly all of its places; of the
     terms left that begin alike, the one with the strongest evidence stays.
-    Weights grow faster than the log odds, so that one sure hit outweighs
-    several that clean documents have too.
     """
     source = rows.select(quoted(text).alias("text"), F.col("label"))
     sizes = source.agg(F.sum("label").alias("toxic"), F.count("label").alias("n")).first()
     n_toxic, n = int(sizes["toxic"] or 0), int(sizes["n"])
-    weights = {fold(s).strip(): _SEED_WEIGHT for s in seeds}
     if not n_toxic or n_toxic == n:
-        return weights
+        return {}
 
     def places(batches):
         for batch in batches:
@@ -265,7 +271,7 @@ def learn_terms(rows: DataFrame, text: str, exceptions: Sequence[str] = EXCEPTIO
                     .select("term", "toxic", "docs", F.coalesce("clean", F.lit(0)).alias("clean")), "toxic-terms")
     every = terms.where("term = ''").first()
     if every is None:
-        return weights
+        return {}
     n_toxic, n_clean = every["toxic"], every["clean"]
     least = float(np.log(max(terms.count(), 2)))
     chance = _LIFT * (n_toxic + 1) / (_LIFT * (n_toxic + 1) + n_clean + 1)
@@ -278,29 +284,75 @@ def learn_terms(rows: DataFrame, text: str, exceptions: Sequence[str] = EXCEPTIO
         for k in range(1, len(term)):
             if term in kept and term[:k] in kept and kept[term]["toxic"] >= 0.9 * kept[term[:k]]["toxic"]:
                 del kept[term[:k]]
-    chosen: set[str] = set()
+    chosen: dict[str, float] = {}
     begun: set[str] = set()
     for term in sorted(kept, key=lambda t: (-kept[t]["evidence"], t)):
         if term not in begun and not any(term[:k] in chosen for k in range(1, len(term))):
-            chosen.add(term)
             begun.update(term[:k] for k in range(1, len(term)))
-            log_odds = (np.log((kept[term]["toxic"] + 0.5) / (n_toxic + 1))
-                        - np.log((kept[term]["clean"] + 0.5) / (n_clean + 1)))
-            weights[term] = float(np.clip(log_odds, 0.0, 8.0) ** 1.5 / 8 ** 0.5)
-    return weights
+            chosen[term] = float(np.log((kept[term]["toxic"] + 0.5) / (n_toxic + 1))
+                                 - np.log((kept[term]["clean"] + 0.5) / (n_clean + 1)))
+    return chosen
+
+
+def weights_of(log_odds: Mapping[str, float], power: float = POWER, seeds: Sequence[str] = SEEDS) -> dict[str, float]:
+    """Weights of learned terms and of seeds that were not learned.
+
+    A power above one lets one sure hit outweigh several that clean documents
+    have too; eight is the largest weight.
+    """
+    learned = {t: float(np.clip(x, 0.0, 8.0) ** power / 8 ** (power - 1)) for t, x in log_odds.items()}
+    return {fold(s).strip(): _SEED_WEIGHT for s in seeds} | learned
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text", label: str = "toxic",
-          bound: int = SAMPLE, exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
-    """Learn terms and the margin on at most ``bound`` labelled rows that are not held out."""
-    rows = durable(labelled_rows(docs, labels, label, bound).select(quoted(text).alias("text"), "label"), "toxic-sample")
-    lexicon = Lexicon(learn_terms(rows, "text", exceptions), exceptions)
+def _fitted(rows: DataFrame, weights: Mapping[str, float], exceptions: Sequence[str], bound: int) -> Lexicon:
+    """The weights with a margin fitted on at most ``bound`` labelled rows."""
+    lexicon = Lexicon(weights, exceptions)
     x = (with_features(rows, "text", lexicon).select("hit_weight", "hit_density", "label").limit(bound)
          .toPandas().to_numpy(float))
     if not len(x) or x[:, 2].min() == x[:, 2].max():
         return lexicon
-    weights, intercept = fit_logistic(x[:, :2], x[:, 2])
-    return Lexicon(lexicon.weights, exceptions, (float(weights[0]), float(weights[1]), intercept))
+    slopes, intercept = fit_logistic(x[:, :2], x[:, 2])
+    return Lexicon(weights, exceptions, (float(slopes[0]), float(slopes[1]), intercept))
+
+
+def _sample(docs: DataFrame, labels: DataFrame, text: str, label: str, bound: int) -> DataFrame:
+    return durable(labelled_rows(docs, labels, label, bound).select(quoted(text).alias("text"), "label"), "toxic-sample")
+
+
+def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text", label: str = "toxic", bound: int = SAMPLE,
+          exceptions: Sequence[str] = EXCEPTIONS, power: float = POWER) -> Lexicon:
+    """Learn terms and the margin on at most ``bound`` labelled rows that are not held out.
+
+    Null and empty texts teach the margin alone; very long texts are read
+    whole. A null label is no label, a key labelled twice has the larger one,
+    repeated rows teach once each. Without rows of both classes, as in empty
+    tables, the seeds and fixed coefficients remain. Other columns are ignored.
+    """
+    rows = _sample(docs, labels, text, label, bound)
+    return _fitted(rows, weights_of(learn_terms(rows, "text"), power), exceptions, bound)
+
+
+def power_errors(docs: DataFrame, labels: DataFrame, powers: Sequence[float] = (1.0, 1.25, 1.5, 1.75, 2.0, 3.0), *,
+                 folds: int = 3, text: str = "text", label: str = "toxic", bound: int = SAMPLE,
+                 threshold: float = THRESHOLD) -> dict[float, tuple[int, int, float]]:
+    """Toxic rows missed, clean rows called toxic, and mean log loss of each power.
+
+    Cross-validated on the rows that labels may teach from; equal texts share a
+    fold. Held-out rows play no part.
+    """
+    rows = _sample(docs, labels, text, label, bound)
+    fold_of = F.pmod(F.xxhash64("text"), F.lit(folds))
+    totals = {power: np.zeros(4) for power in powers}
+    for k in range(folds):
+        rest, tested = rows.where(fold_of != k), rows.where(fold_of == k)
+        log_odds = learn_terms(rest, "text")
+        for power in powers:
+            scored = score(tested, _fitted(rest, weights_of(log_odds, power), EXCEPTIONS, bound), threshold=threshold)
+            toxic, p = F.col("label") > 0, F.greatest(F.least("score", F.lit(1 - 1e-6)), F.lit(1e-6))
+            totals[power] += [x or 0 for x in scored.agg(
+                F.count_if(toxic & (F.col("predicted") == 0)), F.count_if(~toxic & (F.col("predicted") == 1)),
+                F.sum(-F.log(F.when(toxic, p).otherwise(1 - p))), F.count(F.lit(1))).first()]
+    return {power: (int(t[0]), int(t[1]), float(t[2] / max(1, t[3]))) for power, t in totals.items()}
 
 
 _FIELDS = [T.StructField("hit_weight", T.DoubleType()), T.StructField("hit_density", T.DoubleType()),
@@ -326,8 +378,10 @@ def score(docs: DataFrame, lexicon: Lexicon, *, text: str = "text", threshold: f
     """The rows of ``docs`` with ``hits``, ``score`` from 0 to 1, and ``predicted``: 1 from ``threshold`` on.
 
     Only the text decides: null and empty texts get the score of a text
-    without hits. Rows are scored one by one, so repeated rows score alike;
-    columns of the result's names are replaced.
+    without hits. Rows are scored one by one, so repeated rows score alike and
+    an empty table stays empty; very long texts are read whole, at a cost in
+    proportion to their length. Length is words between ASCII white space.
+    Columns of the result's names are replaced.
     """
     a, b, c = lexicon.coefficients
     source = docs.select(*[quoted(x) for x in without(docs, "score", "predicted")])
