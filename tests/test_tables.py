@@ -1,6 +1,7 @@
 """Ordering, dedup, encoding, imputation and splitting."""
 
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -8,10 +9,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from wardlens.operators import split
+from wardlens.operators import impute, split
 from wardlens.operators.dedup import duplicate_count, first_per_key
 from wardlens.operators.encode import OneHot, OneHotModel, binary_target
-from wardlens.operators.order import running_totals
 from wardlens.operators.impute import MedianImputer, exact_medians
 from wardlens.operators.order import ordered_index, rows_at_ranks, running_totals
 from wardlens.operators.profile import frame_shape, missing_profile, target_balance
@@ -109,6 +109,29 @@ def test_one_hot_refuses_more_categories_than_a_schema_holds(spark):
         OneHot(max_categories=20).fit(df)
 
 
+@pytest.mark.parametrize("kind", ["int", "long"])
+def test_dense_orders_beyond_the_square_root(spark, kind):
+    """60,000 ints, whose squares overflow; a column with repeats is not dense, nor is one with a hole."""
+    df = spark.range(1, 60_001).select(F.col("id").cast(kind).alias("o"))
+    assert split._dense_size(df, F.col("o")) == 60_000
+    late = split.temporal_split(df, ["o"], dense=True).where("split = 'test'").agg(F.min("o"), F.count("o")).first()
+    assert tuple(late) == (48_001, 12_000)
+    swapped = df.withColumn("o", F.when(F.col("o") == 7, 8).otherwise(F.col("o")).cast(kind))
+    assert split._dense_size(swapped, F.col("o")) is None
+
+
+@pytest.mark.parametrize("values", [[1, 3, 3, 4, 4, 6, 6, 9, 9], [1, 2, 2, 4], [0, 1, 2], [1, 2, None], [2, 1, 4 * 10**9], [1.0, 2.0]])
+def test_not_dense(spark, values):
+    kind = "double" if isinstance(values[0], float) else "long"
+    assert split._dense_size(spark.createDataFrame([(v,) for v in values], f"o {kind}"), F.col("o")) is None
+
+
+def test_split_of_large_numbers(spark):
+    """Order values near four thousand million are cut by rank."""
+    df = spark.range(4 * 10**9, 4 * 10**9 + 1000).toDF("o")
+    assert split.temporal_split(df, ["o"], dense=True).where("split = 'test'").agg(F.min("o")).first()[0] == 4 * 10**9 + 800
+
+
 def test_exact_medians(spark):
     data = {"odd": [3, 1, 2], "even": [10, 1, 2, 3], "one": [5], "copies": [4] * 9 + [1],
             "neg": list(np.random.default_rng(0).normal(size=501))}
@@ -119,6 +142,32 @@ def test_exact_medians(spark):
         assert got[c] == pytest.approx(float(np.median(v)), abs=1e-15)
 
 
+@pytest.mark.parametrize("keep", [2, 10_000])
+def test_exact_medians_narrow_until_exact(spark, monkeypatch, keep):
+    """Ties, even halves, lone middles between heavy ends, NaN and infinities, with brackets of any size."""
+    monkeypatch.setattr(impute, "KEEP", keep)
+    rng = np.random.default_rng(3)
+    n = 4001
+    data = {"normal": rng.normal(size=n), "few": rng.integers(0, 3, n), "halves": np.repeat([1.0, 2.0], 2000),
+            "ends": np.concatenate([np.zeros(1990), np.ones(1990), np.linspace(0.4, 0.6, 20)]), "one": [7.0] * n,
+            "skewed": rng.lognormal(0, 6, n), "even": rng.normal(size=n - 1), "mostly_nan": [float("nan")] * 3000 + [1.0] * 900,
+            "some_nan": [float("nan")] * 30 + list(rng.random(3000)), "far": [-np.inf] * 2001 + [np.inf] * 2000, "none": []}
+    rows = [tuple(float(v[i]) if i < len(v) else None for v in data.values()) for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data)).repartition(3)
+    got = {r["column"]: r["median"] for r in exact_medians(df, list(data)).collect()}
+    assert "none" not in got
+    for c, v in data.items():
+        if len(v):
+            v = np.sort(v)  # NaN last
+            want = (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2
+            assert got[c] == want or math.isnan(want) and math.isnan(got[c]), c
+
+
+def test_medians_shuffle_no_column(spark, plan_of):
+    df = spark.range(1000).select((F.col("id") % 97).cast("double").alias("x"))
+    assert "rangepartitioning" not in plan_of(exact_medians(df, ["x"]))
+
+
 def test_imputer_keeps_an_empty_column_null(spark):
     df = spark.createDataFrame([(1, None, None), (None, None, 2), (4, None, 3)], "a int, b double, c int")
     out = MedianImputer().fit(df).transform(df).collect()
