@@ -16,6 +16,7 @@ from wardlens.operators.dedup import duplicate_count, first_per_key
 from wardlens.operators.features import derive_features
 from wardlens.operators.impute import MedianImputer
 from wardlens.operators.order import ordered_index
+from wardlens.operators.ranges import label_ranges
 from wardlens.operators.split import feature_names
 from wardlens.plans.prepare import (
     COMPAT, FULL, Prepare, code_columns, first_encounters, run_features, run_prepare,
@@ -140,6 +141,27 @@ def one_hot_table(name, key, column):
     return run
 
 
+RANGED_SQL = """SELECT o_orderkey, (o_totalprice % 1000) * 1.0 AS low,
+    (o_totalprice % 1000) + CASE WHEN o_orderkey % 50 = 0 THEN 300.0 ELSE (o_orderkey % 7) * 0.25 - 0.25 END AS high,
+    o_orderpriority AS label FROM orders"""
+
+
+def q_range_join(spark, sf_dir) -> DataFrame:
+    """Line prices against one range per order: thousands, wide and narrow, overlapping, some the wrong way round."""
+    ranges = spark.sql(RANGED_SQL.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.expr("CASE WHEN l_linenumber < 7 THEN l_extendedprice % 1400 END").alias("price"))
+    return label_ranges(lines, "price", ranges, order="o_orderkey", name="band", default="none").drop("price")
+
+
+def q_one_hot_sparse(spark, sf_dir) -> DataFrame:
+    """Places of the ones of an order: clerk and priority, as text."""
+    df = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"),
+                                               F.col("o_orderpriority").alias("priority"))
+    out = encode.SparseOneHot(["customer", "priority"]).fit(df).indices(df)
+    return out.select("o_orderkey", F.array_join(F.col("indices").cast("array<string>"), ",").alias("ones"))
+
+
 def one_hot_sql(name, key, column, kept) -> str:
     cols = ", ".join(f"CAST(coalesce({column} = '{v}', false) AS TINYINT) AS {S.q(column + '_' + v)}"
                      for v in kept)
@@ -221,6 +243,8 @@ QUERIES = {
     "icd9_category": pick(encode.categorise_diagnoses, "diag_1_cat", "diag_2_cat", "diag_3_cat"),
     "range_bucket": lambda s, d: table(s, d, "part").select(
         "p_partkey", range_label("p_size", SIZES, "other").alias("size_band")),
+    "range_join": q_range_join,
+    "one_hot_sparse": q_one_hot_sparse,
     "one_hot": on(lambda df: encode.OneHot(["race"]).fit(df).transform(df.select("encounter_id", "race"))),
     "one_hot_orders": one_hot_table("orders", "o_orderkey", "o_orderpriority"),
     "one_hot_part": one_hot_table("part", "p_partkey", "p_type"),
@@ -282,6 +306,17 @@ ORACLES = {
     "icd9_category": coded_sql(**{f"{c}_cat": S.icd9_sql(c) for c in codes.DIAGNOSIS_COLUMNS}),
     "range_bucket": "SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 10 THEN 'small' WHEN p_size BETWEEN 15 AND 25 "
                     "THEN 'medium' WHEN p_size BETWEEN 30 AND 45 THEN 'large' ELSE 'other' END AS size_band FROM part",
+    "range_join": f"""WITH r AS ({RANGED_SQL}),
+ l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 7 THEN l_extendedprice % 1400 END AS price FROM lineitem),
+ d AS (SELECT DISTINCT price FROM l WHERE price IS NOT NULL),
+ f AS (SELECT price, arg_min(label, o_orderkey) AS label FROM d JOIN r ON price BETWEEN low AND high GROUP BY price)
+ SELECT l_orderkey, l_linenumber, coalesce(label, 'none') AS band FROM l LEFT JOIN f USING (price)""",
+    "one_hot_sparse": """WITH c AS (SELECT v, row_number() OVER (ORDER BY v) - 2 AS place
+   FROM (SELECT DISTINCT o_custkey::VARCHAR AS v FROM orders)),
+ p AS (SELECT v, row_number() OVER (ORDER BY v) - 2 AS place FROM (SELECT DISTINCT o_orderpriority AS v FROM orders))
+ SELECT o_orderkey, concat_ws(',', CASE WHEN c.place >= 0 THEN c.place END,
+     CASE WHEN p.place >= 0 THEN p.place + (SELECT count(*) - 1 FROM c) END) AS ones
+ FROM orders LEFT JOIN c ON o_custkey::VARCHAR = c.v LEFT JOIN p ON o_orderpriority = p.v""",
     "one_hot": S.upto("enc", f"SELECT encounter_id, {S.dummies(['race'])} FROM enc"),
     "one_hot_orders": one_hot_sql("orders", "o_orderkey", "o_orderpriority", list(PRIORITY)[1:]),
     "one_hot_part": one_hot_sql("part", "p_partkey", "p_type", ["LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,8 @@ from wardlens.functions.scalar import (
     code_number, equals_flag, icd9_category, is_supplement_code, map_codes, null_if_missing,
     quoted, sql_name, sql_text,
 )
+from wardlens.operators.order import ordered_index
+from wardlens.session import durable
 
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = codes.MISSING_TOKENS) -> DataFrame:
@@ -134,3 +137,76 @@ class OneHot:
             raise ValueError(f"more than {self.max_categories} categories to encode, "
                              f"most of them in {widest!r}")
         return OneHotModel({c: sorted(vs) for c, vs in vocabulary.items()}, self.drop_first)
+
+
+@dataclass(frozen=True)
+class SparseOneHotModel:
+    """Vocabulary as a written table: ``column, value, place``, places counted within a column from 0."""
+
+    vocabulary: DataFrame
+    sizes: dict[str, int]  # categories of each column, dropped one included
+    drop_first: bool = True
+
+    @property
+    def width(self) -> int:
+        return sum(self._kept(c) for c in self.sizes)
+
+    def _kept(self, column: str) -> int:
+        return max(0, self.sizes[column] - (1 if self.drop_first else 0))
+
+    def indices(self, df: DataFrame, name: str = "indices") -> DataFrame:
+        """Replace the encoded columns by the ascending places of a row's ones; null and unseen values have none.
+
+        One join per column with its part of the vocabulary, by value: small
+        parts are broadcast by Spark's own size check, large ones shuffle.
+        """
+        out, first, places = df, 0, []
+        for i, c in enumerate(self.sizes):
+            part = (self.vocabulary.where(F.col("column") == c)
+                    .select(F.col("value").alias(f"__value_{i}"), F.col("place").alias(f"__place_{i}")))
+            out = out.join(part, quoted(c).cast("string") == F.col(f"__value_{i}"), "left")
+            at = F.col(f"__place_{i}") - (1 if self.drop_first else 0)
+            places.append(F.when(at >= 0, at + first))
+            first += self._kept(c)
+        rest = [quoted(c) for c in df.columns if c not in self.sizes and c != name]
+        return out.select(*rest, F.array_compact(F.array(*places)).cast("array<int>").alias(name))
+
+    def transform(self, df: DataFrame, name: str = "features") -> DataFrame:
+        """Replace the encoded columns by a sparse vector, built by Spark's own encoder and assembler."""
+        out, slots = df, []
+        for i, c in enumerate(self.sizes):
+            part = (self.vocabulary.where(F.col("column") == c)
+                    .select(F.col("value").alias(f"__value_{i}"), F.col("place").alias(f"__place_{i}")))
+            out = out.join(part, quoted(c).cast("string") == F.col(f"__value_{i}"), "left")
+            at = F.col(f"__place_{i}") - (1 if self.drop_first else 0)
+            # The last slot, which the encoder drops, stands for none.
+            out = out.withColumn(f"__slot_{i}", F.when(at >= 0, at).otherwise(self._kept(c)).cast("double"))
+            slots.append(f"__slot_{i}")
+        rest = [quoted(c) for c in df.columns if c not in self.sizes and c != name]
+        vectors = [f"{s}_vector" for s in slots]
+        row = df.sparkSession.createDataFrame([tuple(float(self._kept(c)) for c in self.sizes)], slots)
+        encoder = OneHotEncoder(inputCols=slots, outputCols=vectors, dropLast=True).fit(row)
+        return VectorAssembler(inputCols=vectors, outputCol=name).transform(encoder.transform(out)).select(*rest, quoted(name))
+
+
+@dataclass(frozen=True)
+class SparseOneHot:
+    """Drop-first one-hot encoding for vocabularies of any size: nothing of them reaches the driver but their sizes.
+
+    Categories sort by code point, as in ``OneHot``, so both give the same
+    columns in the same order.
+    """
+
+    columns: Sequence[str]
+    drop_first: bool = True
+
+    def fit(self, df: DataFrame) -> SparseOneHotModel:
+        pairs = (df.unpivot([], [quoted(c).cast("string").alias(c) for c in self.columns], "column", "value")
+                 .where(F.col("value").isNotNull()).distinct())
+        placed = durable(ordered_index(pairs, ["column", "value"], "nth"), "vocabulary")
+        starts = {r["column"]: (r["first"], r["n"]) for r in placed.groupBy("column").agg(
+            F.min("nth").alias("first"), F.count(F.lit(1)).alias("n")).collect()}  # one row per encoded column
+        sizes = {c: starts.get(c, (0, 0))[1] for c in self.columns}
+        first = F.create_map(*[x for c, (at, _) in starts.items() for x in (F.lit(c), F.lit(at))]) if starts else None
+        place = F.col("nth") - first[F.col("column")] if starts else F.lit(0)
+        return SparseOneHotModel(placed.select("column", "value", place.cast("long").alias("place")), sizes, self.drop_first)

@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from wardlens.functions.scalar import quoted
 from wardlens.operators.metrics import average_precision, with_prediction
 from wardlens.operators.scale import StandardScale
-from wardlens.operators.trees import Forest, margins_at, read_forest, staged_margins
+from wardlens.operators.trees import Forest, read_forest, staged_margins
 from wardlens.session import durable, ensure_checkpoint_dir
 
 _SCALED = "__scaled"
@@ -98,18 +98,25 @@ class BoostedModel:
         return self.pipeline.stages[-1]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``proba``; an early-stopped model sums only its first rounds."""
-        if self.rounds >= self.ensemble.getNumTrees:
-            return (self.pipeline.transform(df)
-                    .withColumn("proba", vector_to_array("probability")[1])
-                    .drop("features", "rawPrediction", "probability", "prediction"))
-        return self.probabilities(self.pipeline.stages[0].transform(df))
+        """Add ``proba``; an early-stopped model scores with its first trees, like any other in the JVM."""
+        scored = first_trees(self.ensemble, self.rounds).transform(self.pipeline.stages[0].transform(df))
+        return (scored.withColumn("proba", vector_to_array("probability")[1])
+                .drop("features", "rawPrediction", "probability", "prediction"))
 
-    def probabilities(self, vectors: DataFrame) -> DataFrame:
-        """Replace the feature vector by ``proba`` of the first rounds."""
-        margin = margins_at(vectors, read_forest(self.ensemble), self.rounds)
-        return (margin.withColumn("proba", 1 / (1 + F.exp(-2 * F.col("margin"))))
-                .drop("features", "margin"))
+
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """An ensemble of the first trees of another, with its settings."""
+    if rounds >= model.getNumTrees:
+        return model
+    whole = model._java_obj
+    jvm, gateway = SparkSession.active()._jvm, SparkSession.active().sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(whole.trees()[:rounds], whole.treeWeights()[:rounds])):
+        trees[i], weights[i] = tree, weight
+    head = jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{model.uid}_{rounds}", trees, weights)
+    settings = whole.extractParamMap()
+    return GBTClassificationModel(head.copy(settings))
 
 
 def save_model(model: PipelineModel | BoostedModel, path: str) -> None:
@@ -211,13 +218,7 @@ def early_stop_round(curve: DataFrame, round_col: str, metric: str, patience: in
 def score(model, df: DataFrame, key: str, label: str, threshold: float = 0.5) -> DataFrame:
     """(id, label, proba, pred) for any fitted model of this module."""
     wanted = [quoted(key).alias("id"), quoted(label).cast("int").alias("label")]
-    if isinstance(model, BoostedModel) and model.rounds < model.ensemble.getNumTrees:
-        # Only key, label and vector go through Python.
-        vectors = model.pipeline.stages[0].transform(df)
-        out = model.probabilities(vectors.select(*wanted, "features")).select("id", "label", "proba")
-    else:
-        out = model.transform(df)
-        if "proba" not in out.columns:
-            out = out.withColumn("proba", vector_to_array("probability")[1])
-        out = out.select(*wanted, "proba")
-    return with_prediction(out, "proba", threshold)
+    out = model.transform(df)
+    if "proba" not in out.columns:
+        out = out.withColumn("proba", vector_to_array("probability")[1])
+    return with_prediction(out.select(*wanted, "proba"), "proba", threshold)

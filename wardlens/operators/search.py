@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +14,7 @@ from wardlens.operators.metrics import average_precision
 from wardlens.operators.models import (
     BoostPreset, assembler, fit_boosted, score, training_vectors,
 )
+from wardlens.session import concurrently, exists, scratch_path
 
 _UNIT = float(1 << 52)
 
@@ -85,27 +84,60 @@ def preset_of(params: Mapping[str, object]) -> BoostPreset:
                        column_fraction=params["params_colsample_bytree"], min_rows=int(leaf))
 
 
+_DIGEST = "digest"
+_LEDGER = f"value double, {_DIGEST} string"
+
+
+def digests(trials: DataFrame, study: str, trial: str = "trial") -> DataFrame:
+    """Add the digest of each trial's settings within a study; the trial's number does not count."""
+    settings = F.to_json(F.struct(*[quoted(c) for c in sorted(trials.columns) if c != trial]))
+    return trials.withColumn(_DIGEST, F.sha2(F.concat_ws("|", F.lit(study), settings).cast("binary"), 256))
+
+
+def read_ledger(trials: DataFrame, ledger: str) -> DataFrame:
+    """(value, digest) of the finished trials; none where no trial has finished."""
+    spark = trials.sparkSession
+    if not exists(spark, ledger):
+        return spark.createDataFrame([], _LEDGER)
+    return spark.read.schema(_LEDGER).option("basePath", ledger).parquet(f"{ledger}/{_DIGEST}=*").dropDuplicates([_DIGEST])
+
+
 def run_trials(trials: DataFrame, train: DataFrame, holdout: DataFrame, names: Sequence[str],
-               label: str, weight: str, key: str, parallelism: int = 2,
-               trial: str = "trial") -> DataFrame:
+               label: str, weight: str, key: str, parallelism: int = 8,
+               trial: str = "trial", ledger: str | None = None, study: str = "") -> DataFrame:
     """Fit every trial on ``train`` and add its average precision on ``holdout``.
 
+    Each finished trial is written at once to the ledger, a Parquet table with
+    one folder per digest of the trial's settings, and a left-anti join with
+    the ledger says which trials are left. So a search whose session was lost
+    goes on where it stopped, more trials can be added to an old search, and
+    trials of equal settings are fitted once. ``study`` names what else the
+    value depends on, above all the tables; the feature names and the columns
+    count by themselves. Without a ledger's path it lies in the scratch folder
+    of the application.
+
     The trial table is small by nature (one model fit per row). Fits are
-    distributed jobs on one shared table of vectors; the pool only submits
-    several of them at a time.
+    distributed jobs on one shared table of vectors; ``parallelism`` of them
+    submit their jobs at the same time.
     """
-    vectors = training_vectors(train, [assembler(names)], label, weight)
-    rows = [r.asDict() for r in trials.orderBy(quoted(trial)).collect()]
+    spark = train.sparkSession
+    ledger = ledger or scratch_path(spark, "ledger")
+    marked = digests(trials, "|".join([study, label, weight, key, *names]), trial)
+    done = read_ledger(trials, ledger)
+    left = [r.asDict() for r in marked.join(done, _DIGEST, "left_anti").dropDuplicates([_DIGEST]).orderBy(quoted(trial)).collect()]
 
-    def value_of(params: dict) -> float:
+    def fit(params: dict) -> None:
         model = fit_boosted(train, names, label, weight, preset_of(params), vectors=vectors)
-        return average_precision(score(model, holdout, key, label)).first()["auprc"]
-
-    with ThreadPool(parallelism) as pool:
-        values = pool.map(inheritable_thread_target(train.sparkSession)(value_of), rows)
-    schema = T.StructType([*trials.schema.fields, T.StructField("value", T.DoubleType())])
-    return train.sparkSession.createDataFrame(
-        [(*[p[f.name] for f in trials.schema], v) for p, v in zip(rows, values)], schema)
+        value = average_precision(score(model, holdout, key, label)).first()["auprc"]
+        (spark.range(1).select(F.lit(value).cast("double").alias("value")).coalesce(1)
+         .write.mode("overwrite").parquet(f"{ledger}/{_DIGEST}={params[_DIGEST]}"))
+
+    if left:
+        vectors = training_vectors(train, [assembler(names)], label, weight)
+        # The costliest first, so that no long fit is left alone at the end.
+        left.sort(key=lambda p: -p["params_n_estimators"] * p["params_max_depth"])
+        concurrently(spark, [lambda p=p: fit(p) for p in left], parallelism)
+    return marked.join(read_ledger(trials, ledger), _DIGEST).drop(_DIGEST).orderBy(quoted(trial))
 
 
 def best_trial(trials: DataFrame, trial: str = "trial") -> DataFrame:

@@ -23,7 +23,7 @@ from wardlens.operators.smote import smote_oversample
 from wardlens.operators.split import (
     balanced_weight, class_ratio, feature_names, temporal_halves,
 )
-from wardlens.session import durable
+from wardlens.session import concurrently, durable
 from wardlens.sources.contract import require
 from wardlens.sources.tables import write_results, write_stage, write_trials
 
@@ -59,7 +59,8 @@ def train_all(featured: DataFrame, presets: Mapping[str, BoostPreset] = DEFAULT_
               max_iter: int = 1000, out: str | None = None) -> TrainReport:
     """Chronological split, three fits, metrics, attributions, best model.
 
-    ``featured`` should be a stage table: it is read once per fit and pass.
+    ``featured`` should be a stage table: it is read once per fit and pass. The
+    fits submit their jobs at the same time, each from its own scheduler pool.
     Early stopping watches the last fifth of the training rows, so the test
     rows stay unseen; ``eval_on="test"`` watches the test rows instead.
     ``ratio_before_smote`` keeps the class weight of the rows before
@@ -79,16 +80,21 @@ def train_all(featured: DataFrame, presets: Mapping[str, BoostPreset] = DEFAULT_
 
     whole = prepared(train)
     report = TrainReport()
-    balanced = balanced_weight(whole, codes.TARGET, "__balanced")
-    report.models[LOGISTIC] = fit_logistic(balanced, names, codes.TARGET, "__balanced",
-                                           max_iter=max_iter)
-    for name, preset in presets.items():
+
+    def logistic():
+        balanced = balanced_weight(whole, codes.TARGET, "__balanced")
+        return fit_logistic(balanced, names, codes.TARGET, "__balanced", max_iter=max_iter)
+
+    def boosted(preset: BoostPreset):
         rows, watched = whole, test
         if preset.patience is not None and eval_on == "validation":
             early, watched = _halves(train)
             rows = prepared(early)
-        report.models[name] = fit_boosted(rows, names, codes.TARGET, WEIGHT, preset, watched)
+        return fit_boosted(rows, names, codes.TARGET, WEIGHT, preset, watched)
 
+    fits = {**{name: lambda p=preset: boosted(p) for name, preset in presets.items()}, LOGISTIC: logistic}
+    fitted = dict(zip(fits, concurrently(featured.sparkSession, list(fits.values()))))
+    report.models = {name: fitted[name] for name in (LOGISTIC, *presets)}
     report.scored = durable(reduce(DataFrame.unionByName, [
         score(m, test, codes.ORDER, codes.TARGET).withColumn("model", F.lit(name))
         for name, m in report.models.items()]), "scored")
@@ -125,8 +131,8 @@ def save_report(report: TrainReport, out: str) -> None:
 
 
 def tune(featured: DataFrame, model: str = "lgb", n_trials: int = 20, seed: int = 42,
-         space: Space | None = None, parallelism: int = 2, out: str | None = None,
-         eval_on: str = "validation"):
+         space: Space | None = None, parallelism: int = 8, out: str | None = None,
+         eval_on: str = "validation", ledger: str | None = None, study: str = ""):
     """Random search on a stage table: (trials, best row).
 
     Trials fit on the first four fifths of the training rows and are scored on
@@ -141,7 +147,7 @@ def tune(featured: DataFrame, model: str = "lgb", n_trials: int = 20, seed: int
     ids = featured.sparkSession.range(n_trials).toDF("trial")
     trials = run_trials(sample_trials(ids, space or SPACES[model], seed),
                         _weighted(train, float(ratio)), holdout, names, codes.TARGET, WEIGHT,
-                        codes.ORDER, parallelism)
+                        codes.ORDER, parallelism, ledger=ledger, study=f"{study}|{model}|{eval_on}")
     if out:
         write_trials(trials, f"{out}/trials_{model}")
     return trials, best_trial(trials).first()

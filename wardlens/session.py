@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
@@ -63,6 +66,35 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def concurrently(spark: SparkSession, tasks: Sequence[Callable], parallelism: int | None = None) -> list:
+    """Results of the tasks, of which ``parallelism`` (all) submit their jobs at the same time.
+
+    Iterative fits are chains of short jobs that leave most of a cluster idle;
+    several chains side by side fill it. Each has a scheduler pool of its own,
+    so in a session with ``spark.scheduler.mode`` FAIR none waits for another.
+    An error ends the call once the tasks that have begun are done.
+    """
+    if not tasks:
+        return []
+
+    def run(numbered):
+        number, task = numbered
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"wardlens-{number}")
+        try:
+            return task()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPool(max(1, parallelism or len(tasks))) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), list(enumerate(tasks)), chunksize=1)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at a path, in any store that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application.
 

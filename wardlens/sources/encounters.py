@@ -24,24 +24,32 @@ def column_type(name: str) -> T.DataType:
     return T.IntegerType() if name in _COUNTS else T.StringType()
 
 
-def csv_reader(reader: DataFrameReader) -> DataFrameReader:
-    """Options that fail on a differing header or a row of the wrong width instead of shifting values."""
+def csv_reader(reader: DataFrameReader, multiline: bool = False) -> DataFrameReader:
+    """Options that fail on a differing header or a row of the wrong width instead of shifting values.
+
+    To see a row's width all its columns are parsed, also those not asked for.
+    """
     return reader.options(header=True, quote='"', escape='"', enforceSchema=False, mode="FAILFAST",
-                          columnPruning=False)
+                          columnPruning=False, multiLine=multiline)
 
 
-def scan_encounters(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def scan_encounters(spark: SparkSession, path: str, columns: list[str] | None = None,
+                    multiline: bool = False) -> DataFrame:
     """Read headed CSV files; missing-value tokens become null, numbers are cast.
 
     A doubled quote inside a quoted value is one quote. Every file must have
     the header of the first, and every row its width, else the read fails.
+    ``multiline`` takes quoted values with line breaks in them. It costs the
+    splitting of files: each is then read by one task as a whole, so it is for
+    tables of many files of moderate size; without it such a value fails the
+    read rather than shift values.
 
     Types follow from the column names, so no inference pass is needed. Give
     ``columns`` to skip even the one-line read of the header.
     """
-    names = columns or spark.read.option("header", True).csv(path).columns
+    names = columns or spark.read.options(header=True, quote='"', escape='"', multiLine=multiline).csv(path).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    raw = csv_reader(spark.read.schema(text)).csv(path)
+    raw = csv_reader(spark.read.schema(text), multiline).csv(path)
     return raw.select(*[null_if_missing(c).try_cast(column_type(c)).alias(c)
                         for c in names])
 
