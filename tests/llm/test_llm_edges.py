@@ -322,6 +322,49 @@ def test_hash_filter_lets_every_key_through(spark, n):
     assert set(range(n)) <= {r["id"] for r in marked} and len(marked) <= n + 0.1 * 20_000
 
 
+HOT = {"half without key": "IF(id % 2 = 0, NULL, id)", "one key": "IF(id % 10 < 6, 77, id)", "apart": "id",
+       "few keys": "id % 3", "none": "CAST(NULL AS LONG)", "one at the end": "IF(id % 10 < 6, 9000000, id)"}
+
+
+@pytest.mark.parametrize("case", HOT)
+def test_hot_keys_fill_many_ranges(spark, case):
+    """The largest of 40 ranges of key and hash holds little more than its share, and ranges are in order."""
+    df = spark.range(20_000).select(F.expr(HOT[case]).cast("long").alias("key"), F.xxhash64("id").alias("tie"))
+    bounds = common.pair_bounds(df, "key", 40)
+    rows = df.withColumn("part", common.range_of(F.col("key"), F.col("tie"), bounds)).collect()
+    sizes = Counter(r["part"] for r in rows)
+    assert max(sizes.values()) <= 3 * 20_000 / 40 and len(sizes) > 25
+    order = sorted((r["key"] is None, r["key"] or 0, r["tie"], r["part"]) for r in rows)
+    assert [r[3] for r in order] == sorted(r[3] for r in order)
+
+
+@pytest.mark.parametrize("case", HOT)
+def test_hot_keys_keep_results(spark, case):
+    """Fingerprints meet the next row and token files are in order, with rows of one key over many tasks."""
+    df = spark.range(600).select(F.expr(HOT[case]).cast("long").alias("doc_id"), F.format_string("text %d of it", "id").alias("text"))
+    rows = fingerprints.with_next(df, "doc_id", "text").collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in df.collect())
+    ordered = [r["text"] for r in df.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).collect()]
+    changed = [fingerprints.edited(a, b) for a, b in zip(ordered, ordered[1:] + ordered[:1])]
+    assert Counter(r["edited_sha256"] for r in rows) == Counter(hashlib.sha256(t.encode()).hexdigest() for t in changed)
+    folder = scratch_path(spark, "hot-tokens")
+    tokenbin.write_tokens(df, folder, PATH)
+    found = sorted(tokenbin.read_documents(spark, folder).collect(), key=lambda r: r["start"])
+    keys = [(r["doc_id"] is None, r["doc_id"] or 0) for r in found]
+    assert keys == sorted(keys) and len(keys) == 600
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(found, found[1:]))
+
+
+def test_hot_rows_are_dealt_by_number(spark):
+    """One id and size in 60% of the rows: groups stay small, starts follow each other without gaps."""
+    rows = spark.range(20_000).select(F.when(F.col("id") % 10 < 6, 5).otherwise(F.col("id")).alias("doc_id"),
+                                      F.lit("s").alias("source"), F.when(F.col("id") % 10 < 6, 3).otherwise(F.col("id") % 7).alias("size"))
+    groups = mixing.dealt(rows.repartition(6), ["doc_id"], 1000).groupBy("source", "__group").count().collect()
+    assert max(r["count"] for r in groups) < 2000
+    placed = sorted((r["start"], r["size"]) for r in mixing.stream(rows.repartition(6), ["doc_id"], 1000).collect() if r["size"])
+    assert placed[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(placed, placed[1:]))
+
+
 def test_loser_tree():
     rng = np.random.default_rng(5)
     for k in (0, 1, 2, 3, 7, 16):

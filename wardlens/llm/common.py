@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -64,31 +65,43 @@ def map_text(df: DataFrame, text: str, make: Callable[[], Callable], fields: Seq
     return source.mapInArrow(run, T.StructType([*source.schema.fields, *fields]))
 
 
-def key_bounds(df: DataFrame, key: str, parts: int) -> list:
-    """At most ``parts - 1`` ascending values of a numeric key that cut its rows evenly."""
-    if parts < 2:
+def pair_bounds(df: DataFrame, key: str, parts: int) -> list[tuple]:
+    """At most ``parts - 1`` ascending (key, tie) pairs that cut the rows of a table evenly, null keys last.
+
+    For a numeric key and a tie that is spread over all longs, such as a hash.
+    Quantiles of the key, null as its greatest value, give the keys; one that
+    fills several parts, null included, is cut by ties at even distances.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count(quoted(key)).alias("known"), F.percentile_approx(
+        quoted(key), F.array(*[F.lit(i / parts) for i in range(parts + 1)]), F.lit(max(1000, 20 * parts))).alias("q")).first()
+    if parts < 2 or not row["rows"]:
         return []
-    at = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    found = df.agg(F.percentile_approx(quoted(key), at, F.lit(max(1000, 20 * parts))).alias("b")).first()["b"]
-    return sorted(set(found or []))
+    ends = [i / parts * row["rows"] for i in range(1, parts)]
+    keys = [row["q"][round(e / row["known"] * parts)] if e <= row["known"] and row["known"] else None for e in ends]
+    bounds = []
+    for value, n in Counter(keys).items():  # in order, since the keys ascend
+        bounds += [(value, (1 << 64) * (j + 1) // (n + 1) - (1 << 63)) for j in range(n)]
+    return bounds
 
 
-def range_of(key: Column, bounds: Sequence) -> Column:
-    """Number of bounds that are not above ``key``; nulls come after the last bound.
+def range_of(key: Column, tie: Column, bounds: Sequence[tuple]) -> Column:
+    """Number of (key, tie) bounds that are not above a row's; null keys come last.
 
     Two scans over about the square root of the bounds each, so thousands of
     ranges stay cheap per row.
     """
     if not bounds:
         return F.lit(0)
+
+    def place(k: Column, t: Column) -> Column:
+        return F.struct(k.isNull().alias("m"), F.coalesce(k, F.lit(0)).cast("long").alias("k"), t.cast("long").alias("t"))
+
     step = max(1, int(len(bounds) ** 0.5))
-    every = F.array(*[F.lit(b) for b in bounds])
-    coarse = F.array(*[F.lit(b) for b in bounds[::step]])
-    block = F.size(F.filter(coarse, lambda b: b <= key))
-    inside = F.size(F.filter(F.slice(every, (block - 1) * step + 1, F.lit(step)), lambda b: b <= key))
-    return (F.when(key.isNull(), F.lit(len(bounds)))
-            .when(block == 0, F.lit(0))
-            .otherwise((block - 1) * step + inside)).cast("int")
+    listed = [place(F.lit(k).cast("long"), F.lit(t)) for k, t in bounds]
+    own = place(key, tie)
+    block = F.size(F.filter(F.array(*listed[::step]), lambda b: b <= own))
+    inside = F.size(F.filter(F.slice(F.array(*listed), (block - 1) * step + 1, F.lit(step)), lambda b: b <= own))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + inside).cast("int")
 
 
 MOST_FILTER_BITS = 1 << 28  # 32 MB

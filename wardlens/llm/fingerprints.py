@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.functions.scalar import quoted
-from wardlens.llm.common import key_bounds, map_text, range_of, shuffle_partitions, slices
+from wardlens.llm.common import map_text, pair_bounds, range_of, shuffle_partitions, slices
 
 WIDE, SKETCH = 8, 256
 _GRAM = 3
@@ -157,16 +157,18 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     Returns the key and the columns of ``_SCHEMA``. Next means the following
     row by ascending key, null keys last and rows of one key by a hash of their
     text; the first row follows the last, and a single row follows itself. Null
-    texts count as empty. An empty table gives an empty one.
+    texts count as empty. An empty table gives an empty one. Very long texts
+    are read whole, and columns beside those named are dropped.
 
-    Rows are shuffled once, into ranges of the key's quantiles. The first row of
-    each range is also sent to the range before it, so every row meets its
+    Rows are shuffled once, into ranges of key and text hash, so that rows of
+    one key, or without one, spread over as many ranges as they fill; only
+    rows equal in both stay together. The first row of each range is also sent to the range before it, so every row meets its
     successor inside one task.
     """
     source = df.select(quoted(key).cast("long").alias("key"), F.coalesce(quoted(text), F.lit("")).alias("text"))
-    bounds = key_bounds(source, "key", min(shuffle_partitions(df), 5000))
+    bounds = pair_bounds(source, "key", min(shuffle_partitions(df), 5000))
     parts = len(bounds) + 1
-    rows = source.withColumn("tie", F.xxhash64("text")).withColumn("part", range_of(F.col("key"), bounds))
+    rows = source.withColumn("tie", F.xxhash64("text")).withColumn("part", range_of(F.col("key"), F.col("tie"), bounds))
     place = F.struct(F.col("key").isNull().alias("missing"), F.coalesce("key", F.lit(0)).alias("key"), "tie")
     firsts = {r["part"]: r["first"] for r in rows.groupBy("part").agg(F.min(place).alias("first")).collect()}
     filled = sorted(firsts)

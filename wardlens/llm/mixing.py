@@ -145,22 +145,54 @@ def stream(sized: DataFrame, order: Sequence[str], rows_per_task: int = 5_000) -
     Rows of a source are dealt by hash into groups of about ``rows_per_task``
     and ordered inside a group, so a hot source spreads over many tasks; the
     groups' totals give each its start. Rows equal in ``order`` and size are
-    interchangeable.
+    interchangeable; where they are many they are numbered and dealt by number.
     """
-    keyed = sized.withColumn("__order", F.xxhash64(*[quoted(c) for c in order], F.col("size")))
-    groups = max(1, -(-sized.count() // rows_per_task))
-    keyed = keyed.withColumn("__group", F.pmod(F.col("__order"), F.lit(groups)))
+    keyed = dealt(sized, order, rows_per_task)
     totals = keyed.groupBy("source", "__group").agg(F.sum("size").alias("__sum"))
     by_source = Window.partitionBy("source").orderBy("__group")
     starts = totals.select(F.col("source").alias("__source"), F.col("__group").alias("__at"),
                            (F.sum("__sum").over(by_source) - F.col("__sum")).alias("__before"))
     inside = (Window.partitionBy("source", "__group")
-              .orderBy("__order", *[quoted(c) for c in order], "size")
+              .orderBy("__order", *[quoted(c) for c in order], "size", "__copy")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = keyed.withColumn("start", F.sum("size").over(inside) - F.col("size"))
     same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("__group") == F.col("__at"))
     return (placed.join(starts, same).withColumn("start", F.col("start") + F.col("__before"))
-            .drop("__order", "__group", "__source", "__at", "__before"))
+            .drop("__order", "__copy", "__group", "__source", "__at", "__before"))
+
+
+def dealt(sized: DataFrame, order: Sequence[str], rows_per_task: int) -> DataFrame:
+    """Add ``__order``, ``__copy`` and ``__group``: the hash that rows are dealt by, and where it deals them."""
+    keyed = sized.withColumn("__order", F.xxhash64(*[quoted(c) for c in order], F.col("size")))
+    groups = max(1, -(-sized.count() // rows_per_task))
+    keyed = _copies_numbered(keyed, rows_per_task // 2)
+    mark = F.when(F.col("__copy") == 0, F.col("__order")).otherwise(F.xxhash64("__order", "__copy"))
+    return keyed.withColumn("__group", F.pmod(mark, F.lit(groups)))
+
+
+def _copies_numbered(keyed: DataFrame, most: int) -> DataFrame:
+    """Add ``__copy``, which tells apart rows of one hash and source where more than ``most`` have it; else 0.
+
+    Only such rows are written, with their positions: a row's number is its
+    rank in its slice of the written table and the counts of the slices before.
+    """
+    hot = durable(keyed.groupBy("source", "__order").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+                  .select("__order").distinct().withColumnRenamed("__order", "__hot"), "hot-rows")
+    if hot.isEmpty():
+        return keyed.withColumn("__copy", F.lit(0).cast("long"))
+    is_hot = F.col("__order") == F.col("__hot")
+    rows = durable(keyed.join(hot, is_hot, "left_semi").withColumn("__position", F.monotonically_increasing_id()), "hot-copies")
+    rows = rows.withColumn("__slice", F.shiftright("__position", 33))
+    counts = rows.groupBy(F.col("__slice").alias("__s"), F.col("source").alias("__from"), F.col("__order").alias("__o")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__from", "__o").orderBy("__s")) - F.col("__n")
+    earlier = counts.withColumn("__earlier", before)
+    rank = F.row_number().over(Window.partitionBy("__slice", "source", "__order").orderBy("__position"))
+    same = ((F.col("__slice") == F.col("__s")) & (F.col("__order") == F.col("__o"))
+            & F.col("source").eqNullSafe(F.col("__from")))
+    numbered = rows.withColumn("__rank", rank).join(earlier, same).withColumn("__copy", F.col("__rank") + F.col("__earlier") - 1)
+    rest = keyed.join(hot, is_hot, "left_anti").withColumn("__copy", F.lit(0).cast("long"))
+    return rest.unionByName(numbered.select(*rest.columns))
 
 
 def draw_blocks(spark: SparkSession, table: Sequence[Source], shard_slots: int = 4096,

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from wardlens.functions.scalar import quoted
 from wardlens.llm.bpe import ChunkEncoder, WordSplit
-from wardlens.llm.common import key_bounds, map_text, shuffle_partitions
+from wardlens.llm.common import map_text, pair_bounds, range_of, shuffle_partitions
 
 MAGIC = b"EFTK"
 _HEADER = struct.Struct("<4sHHIIQQQq")  # magic, version, id bytes, slice, segment, documents, nulls, ids, least id
@@ -81,6 +81,21 @@ class EliasFano:
         place = byte * 8 + (word & -word).bit_length() - 1
         return (place - i) << self.low_bits | self._low_of(i)
 
+    def select_block(self, k: int) -> np.ndarray:
+        """The values from the k-th sample up to the next one, without unpacking the rest."""
+        first, last = k * _SAMPLE, min(self.n, (k + 1) * _SAMPLE)
+        begin = int(self.samples[k])
+        end = int(self.samples[k + 1]) if k + 1 < len(self.samples) else 8 * len(self.upper)
+        bits = np.unpackbits(np.frombuffer(self.upper, np.uint8, (end + 7) // 8 - begin // 8, begin // 8), bitorder="little")
+        places = np.flatnonzero(bits[begin % 8:])[:last - first] + begin
+        high = (places - np.arange(first, last)) << self.low_bits
+        if not self.low_bits:
+            return high
+        at, stop = first * self.low_bits, last * self.low_bits
+        low = np.unpackbits(np.frombuffer(self.low, np.uint8, (stop + 7) // 8 - at // 8, at // 8), bitorder="little")
+        planes = low[at % 8:at % 8 + stop - at].reshape(last - first, self.low_bits).astype(np.int64)
+        return high | (planes << np.arange(self.low_bits)).sum(axis=1)
+
     def values(self) -> np.ndarray:
         """All values at once."""
         ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.upper, np.uint8), bitorder="little"))[:self.n]
@@ -186,20 +201,20 @@ def write_tokens(docs: DataFrame, folder: str, path: str, *, key: str = "doc_id"
     """Encode every text and write token files in ascending key order, null keys last.
 
     A null text has the end id alone; rows of one key follow each other, in the
-    order of their ids. Texts are encoded where they are read, and only packed
-    ids are shuffled: ranges of the key from its quantiles, one per task. A
-    task holds one segment of about ``segment_ids`` ids at a time. An empty
-    table gives files without segments.
+    order of a hash of their ids. Texts are encoded where they are read, very
+    long ones whole, and only packed ids are shuffled: ranges of key and hash,
+    one per task, so that rows of one key or without one spread over as many
+    ranges as they fill. A task holds one segment of about ``segment_ids`` ids
+    at a time. An empty table gives files without segments; columns beside
+    those named are ignored.
     """
     parts = min(shuffle_partitions(docs), 10_000)
-    bounds = np.array(key_bounds(docs, key, parts), np.int64)
     rows = docs.select(quoted(key).cast("long").alias("key"), quoted(text).alias("text"))
-    coded = encode_ids(rows, "text", path, end_id, width).drop("text")
-    part = F.size(F.filter(F.array(*[F.lit(int(b)) for b in bounds]), lambda b: b <= F.col("key"))) \
-        if len(bounds) else F.lit(0)
-    ranged = (coded.withColumn("part", F.when(F.col("key").isNull(), F.lit(len(bounds))).otherwise(part).cast("int"))
+    bounds = pair_bounds(rows, "key", parts)
+    coded = encode_ids(rows, "text", path, end_id, width).drop("text").withColumn("tie", F.xxhash64("ids"))
+    ranged = (coded.withColumn("part", range_of(F.col("key"), F.col("tie"), bounds))
               .repartitionById(len(bounds) + 1, "part")
-              .sortWithinPartitions(F.col("part"), F.col("key").asc_nulls_last(), "ids"))
+              .sortWithinPartitions(F.col("part"), F.col("key").asc_nulls_last(), "tie", "ids"))
 
     def pack(batches):
         held, ids, size, at, number = [], [], 0, None, 0
@@ -238,7 +253,8 @@ def _segment_row(s: Segment) -> list[pa.Array]:
 
 
 def _document_rows(s: Segment) -> list[pa.Array]:
-    bounds, data = s.bounds.values().astype(np.int64), s.ids.astype("<u4")
+    bounds = np.concatenate([s.bounds.select_block(k) for k in range(len(s.bounds.samples))])
+    data = s.ids.astype("<u4")
     cuts = bounds.tolist()
     crc = [zlib.crc32(data[a:b]) for a, b in zip(cuts, cuts[1:])]
     return [pa.array([s.slice] * s.docs, pa.int32()), pa.array([s.number] * s.docs, pa.int32()),
