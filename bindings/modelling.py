@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from bindings import sqltext as S
 from bindings.encounters import encounters, table
 from bindings.evaluate import featured, rounded, train_only
 from wardlens.functions import codes
-from wardlens.operators import attribution, models, search
+from wardlens.operators import attribution, models, nodes, search
 from wardlens.operators.neighbours import nearest_neighbours
 from wardlens.operators.scale import StandardScale
 from wardlens.operators.smote import smote_oversample
@@ -144,6 +146,54 @@ def q_boosted_structure(spark, sf_dir) -> DataFrame:
                                       "step_kept boolean")
 
 
+def few_rounds(spark, sf_dir, preset, rounds, **settings):
+    """A preset's fit cut to a few rounds, its node table, and the halves with their feature arrays."""
+    train, test, names = halves(spark, sf_dir)
+    train = positive_weight(train, codes.TARGET)
+    model = models.fit_boosted(train, names, codes.TARGET, "weight", replace(preset, rounds=rounds, patience=None, **settings))
+
+    def arrays(df):
+        vectors = model.pipeline.stages[0].transform(df)
+        return vectors.select(F.col(codes.ORDER).alias("id"), vector_to_array("features").alias("features"))
+
+    return model, nodes.node_table(model.ensemble), train, test, names, arrays
+
+
+def q_boosted_margins(preset):
+    """Per test row: margin by joins with the node table against the model's own log-odds."""
+    def run(spark, sf_dir) -> DataFrame:
+        model, table_, _, test, _, arrays = few_rounds(spark, sf_dir, preset, 8)
+        own = models.score(model, test, codes.ORDER, codes.TARGET).select(
+            F.col("id").alias("of"), F.log(F.col("proba") / (1 - F.col("proba"))).alias("odds"))
+        met = nodes.margins(arrays(test), table_).join(own, F.col("id") == F.col("of"))
+        return met.select(F.col("id").alias(codes.ORDER), F.abs(F.round(2 * F.col("margin") - F.col("odds"), 6)).alias("gap"))
+    return run
+
+
+def q_boosted_leaves(preset):
+    """Per training row: value of its leaf in the first tree against the weighted mean of the labels in that leaf."""
+    def run(spark, sf_dir) -> DataFrame:
+        _, table_, train, _, _, arrays = few_rounds(spark, sf_dir, preset, 1, row_fraction=1.0)
+        placed = nodes.leaves_of(arrays(train), table_.where("tree = 0"))
+        rows = placed.join(train.select(F.col(codes.ORDER).alias("of"), F.col(codes.TARGET).alias("y"), F.col("weight").alias("w")),
+                           F.col("id") == F.col("of"))
+        means = rows.groupBy(F.col("node").alias("leaf")).agg((F.sum(F.col("w") * (2 * F.col("y") - 1)) / F.sum("w")).alias("mean"))
+        return rows.join(means, F.col("node") == F.col("leaf")).select(
+            F.col("id").alias(codes.ORDER), F.abs(F.round(F.col("value") - F.col("mean"), 6)).alias("gap"))
+    return run
+
+
+def q_shap_coalitions(spark, sf_dir) -> DataFrame:
+    """Per test row and feature: the operator's contribution against the sum over all coalitions."""
+    model, table_, _, test, names, arrays = few_rounds(spark, sf_dir, models.BOOSTED_B, 4, max_depth=4)
+    fast = attribution.attribution_long(attribution.tree_shap(model, test, codes.ORDER), names).select("id", "feature", "phi")
+    slow = nodes.coalition_shapley(arrays(test), table_).select(
+        F.col("id").alias("of"), F.element_at(F.array(*map(F.lit, names)), F.col("feature") + 1).alias("named"), F.col("phi").alias("again"))
+    met = fast.join(slow, (F.col("id") == F.col("of")) & (F.col("feature") == F.col("named")), "left")
+    return met.select(F.col("id").alias(codes.ORDER), "feature",
+                      F.abs(F.round(F.col("phi") - F.coalesce("again", F.lit(0.0)), 6)).alias("gap"))
+
+
 def _depth(tree) -> int:
     level, depth = [0], 0
     while True:
@@ -283,6 +333,11 @@ QUERIES = {
     "train_all": q_train_all,
     "train_all_metrics": q_train_all_metrics,
     "boosted_structure": q_boosted_structure,
+    "boosted_margins_a": q_boosted_margins(models.BOOSTED_A),
+    "boosted_margins_b": q_boosted_margins(models.BOOSTED_B),
+    "boosted_leaves_a": q_boosted_leaves(models.BOOSTED_A),
+    "boosted_leaves_b": q_boosted_leaves(models.BOOSTED_B),
+    "tree_shap_coalitions": q_shap_coalitions,
     "minority_neighbours": q_neighbours,
     "neighbours_embeddings": q_neighbours_all,
     "smote_oversample": q_smote,
@@ -396,7 +451,13 @@ ORACLES = {
     "write_trials": "SELECT p_partkey AS trial, p_brand AS params_brand, p_size AS params_size, "
                     "p_size / 50.0::DOUBLE AS value FROM part",
 }
+_FEATURES = ["gender", "age", *S.PLAIN, "A1Cresult", "max_glu_serum", *S.DRUGS, "change", "diabetesMed",
+             *S.FEATURES, *[f"{c}_{v}" for c in S.VOCABULARY for v in S.VOCABULARY[c][1:]]]
 ORACLES["logistic_optimum"] = S.upto("featured", " UNION ALL ".join(
-    f"SELECT '{c}' AS coefficient, 0.0::DOUBLE AS slope" for c in [
-        "intercept", "gender", "age", *S.PLAIN, "A1Cresult", "max_glu_serum", *S.DRUGS, "change", "diabetesMed",
-        *S.FEATURES, *[f"{c}_{v}" for c in S.VOCABULARY for v in S.VOCABULARY[c][1:]]]))
+    f"SELECT '{c}' AS coefficient, 0.0::DOUBLE AS slope" for c in ["intercept", *_FEATURES]))
+for _preset in "ab":
+    ORACLES[f"boosted_margins_{_preset}"] = _SPLIT_TEST.format("0.0::DOUBLE AS gap")
+    ORACLES[f"boosted_leaves_{_preset}"] = S.upto(
+        "split", "SELECT encounter_order, 0.0::DOUBLE AS gap FROM split WHERE split = 'train'")
+ORACLES["tree_shap_coalitions"] = S.upto("split", "SELECT encounter_order, feature, 0.0::DOUBLE AS gap FROM split, (SELECT unnest(["
+    + ", ".join(f"'{f}'" for f in _FEATURES) + "]) AS feature) WHERE split = 'test'")
