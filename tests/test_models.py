@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wardlens.operators import attribution, models, search
+from wardlens.operators import attribution, models, neighbours, search
 from wardlens.operators.neighbours import nearest_neighbours
 from wardlens.operators.scale import StandardScale
 from wardlens.operators.smote import smote_oversample
@@ -204,12 +204,19 @@ def test_neighbours_are_exact_across_inner_cells(spark, case):
     assert got == brute_neighbours(ids, x, 5)
 
 
-def test_approximate_neighbours_stay_in_their_region(spark):
-    x = np.random.default_rng(7).normal(size=(400, 3))
+@pytest.mark.parametrize("shape", ["plane", "no clusters", "clusters"])
+def test_approximate_neighbours_reach_the_wanted_recall(spark, monkeypatch, shape):
+    """Recall of 0.9 with and without structure, and not by visiting every region where there is some."""
+    rng, n = np.random.default_rng(7), 1200
+    x = {"plane": rng.normal(size=(n, 2)), "no clusters": rng.normal(size=(n, 12)),
+         "clusters": rng.normal(size=(n, 12)) * 0.1 + rng.normal(size=(30, 12))[rng.integers(0, 30, n)]}[shape]
+    probed, real = [], neighbours._probes
+    monkeypatch.setattr(neighbours, "_probes", lambda *args: probed.append(real(*args)) or probed[-1])
     df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<double>")
-    near = {(r["id"], r["neighbour"]) for r in nearest_neighbours(df, 5, 4, cell_rows=10, approximate=True).collect()}
-    true = {(i, j) for i, v in brute_neighbours(list(range(400)), x, 5).items() for j, _ in v}
-    assert len(near) == len(true) == 2000 and len(near & true) / 2000 > 0.7
+    near = {(r["id"], r["neighbour"]) for r in nearest_neighbours(df, 5, 30, cell_rows=10, approximate=True).collect()}
+    true = {(i, j) for i, v in brute_neighbours(list(range(n)), x, 5).items() for j, _ in v}
+    assert len(true) == 5 * n and 0.98 * 5 * n <= len(near) <= 5 * n and len(near & true) / len(true) >= 0.9
+    assert probed[0] < 30 and (shape == "no clusters" or probed[0] <= 10)
 
 
 @pytest.fixture(scope="module")
