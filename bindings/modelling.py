@@ -22,7 +22,7 @@ from wardlens.operators.split import (
 )
 from wardlens.operators.trees import read_forest
 from wardlens.plans.train import train_all, tune
-from wardlens.session import scratch_path
+from wardlens.session import scratch_path, scratch_root
 from wardlens.sources.tables import read_stage, write_trials
 
 SCALED = ["num_lab_procedures", "num_medications", "time_in_hospital", "number_inpatient"]
@@ -288,15 +288,17 @@ def q_trial_bounds(spark, sf_dir) -> DataFrame:
     return drawn.agg(F.count(F.lit(1)).alias("trials"), F.count_if(inside).alias("inside"))
 
 
-def _tuned(spark, sf_dir, **settings) -> DataFrame:
-    run = (spark.sparkContext.applicationId, sf_dir, "tune", *settings.items())
+def _tuned(spark, sf_dir, model="lgb", **settings) -> DataFrame:
+    """A search on a table; each application keeps a ledger per space, so a call that was cut off goes on."""
+    run = (spark.sparkContext.applicationId, sf_dir, "tune", model, *settings.items())
     if run not in _FITTED:
-        _FITTED[run] = tune(featured(spark, sf_dir), "lgb", **settings)[0]
+        ledger = f"{scratch_root(spark)}/wardlens-{spark.sparkContext.applicationId}/ledger-{model}"
+        _FITTED[run] = tune(featured(spark, sf_dir), model, ledger=ledger, study=sf_dir, **settings)[0]
     return _FITTED[run]
 
 
-def q_run_trials(spark, sf_dir) -> DataFrame:
-    return _tuned(spark, sf_dir)
+def q_run_trials(model):
+    return lambda s, d: _tuned(s, d, model)
 
 
 def q_run_trials_drawn(spark, sf_dir) -> DataFrame:
@@ -350,7 +352,8 @@ QUERIES = {
     "sample_trials": q_sample_trials("lgb"),
     "sample_trials_xgb": q_sample_trials("xgb"),
     "sample_trials_bounds": q_trial_bounds,
-    "run_trials": q_run_trials,
+    "run_trials": q_run_trials("lgb"),
+    "run_trials_xgb": q_run_trials("xgb"),
     "run_trials_drawn": q_run_trials_drawn,
     "best_trial": lambda s, d: search.best_trial(priced_trials(s, d)).select("trial", "value"),
     "write_trials": q_write_trials,

@@ -226,16 +226,17 @@ def test_release_removes_the_scratch_folder(spark, tmp_path, monkeypatch):
     assert not list(tmp_path.iterdir())
 
 
-def test_trials_query_runs_every_trial(spark, small, monkeypatch):
-    """The registered search runs as many trials as the operator does by default."""
+@pytest.mark.parametrize("name, model", [("run_trials", "lgb"), ("run_trials_xgb", "xgb")])
+def test_trials_query_runs_every_trial(spark, small, monkeypatch, name, model):
+    """The registered searches run as many trials as the operator does by default, each with a ledger of its space."""
     asked = []
 
     def spy(*args, **settings):
         call = inspect.signature(tune).bind(*args, **settings)
         call.apply_defaults()
-        asked.append(call.arguments["n_trials"])
+        asked.append((call.arguments["model"], call.arguments["n_trials"], call.arguments["ledger"].rsplit("-", 1)[1]))
         return spark.range(call.arguments["n_trials"]).toDF("trial"), None
 
     monkeypatch.setattr(modelling, "tune", spy)
     monkeypatch.setattr(modelling, "_FITTED", {})
-    assert entry.queries()["run_trials"](spark, small).count() == 20 and asked == [20]
+    assert entry.queries()[name](spark, small).count() == 20 and asked == [(model, 20, model)]
