@@ -13,6 +13,7 @@ from wardlens.operators.features import derive_features
 from wardlens.operators.impute import MedianImputer, MedianImputerModel
 from wardlens.operators.order import ordered_index
 from wardlens.operators.split import TRAIN, temporal_halves
+from wardlens.session import concurrently
 from wardlens.sources.contract import require
 from wardlens.sources.encounters import REQUIRED, scan_encounters
 from wardlens.sources.tables import write_stage
@@ -86,8 +87,9 @@ class Prepare:
     onehot: encode.OneHot = encode.OneHot()
 
     def fit(self, first: DataFrame) -> PreparedModel:
-        return PreparedModel(self.mode, self.diagnoses, MedianImputer().fit(first),
-                             self.onehot.fit(first))
+        medians, onehot = concurrently(first.sparkSession, [
+            lambda: MedianImputer().fit(first), lambda: self.onehot.fit(first)])
+        return PreparedModel(self.mode, self.diagnoses, medians, onehot)
 
 
 def run_preprocess(spark: SparkSession, source: str, target: str) -> DataFrame:
