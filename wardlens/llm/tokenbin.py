@@ -26,6 +26,7 @@ from tokenizers import Tokenizer
 from wardlens.functions.scalar import quoted
 from wardlens.llm.bpe import ChunkEncoder, WordSplit
 from wardlens.llm.common import map_text, pair_bounds, range_of, shuffle_partitions
+from wardlens.session import durable
 
 MAGIC = b"EFTK"
 _HEADER = struct.Struct("<4sHHIIQQQq")  # magic, version, id bytes, slice, segment, documents, nulls, ids, least id
@@ -248,10 +249,6 @@ def _read(spark: SparkSession, folder: str, make_rows, schema: str) -> DataFrame
     return files.mapInArrow(run, schema)
 
 
-def _segment_row(s: Segment) -> list[pa.Array]:
-    return [pa.array([x], kind) for x, kind in ((s.slice, pa.int32()), (s.number, pa.int32()), (s.n_ids, pa.int64()))]
-
-
 def _document_rows(s: Segment) -> list[pa.Array]:
     bounds = np.concatenate([s.bounds.select_block(k) for k in range(len(s.bounds.samples))])
     data = s.ids.astype("<u4")
@@ -265,17 +262,18 @@ def _document_rows(s: Segment) -> list[pa.Array]:
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of the files: ``doc_id, start, n_tokens, ids_crc32``.
 
-    ``start`` counts the ids of all documents before it. Offsets add up in two
-    levels, per slice and per segment inside a slice, so no window holds more
-    rows than slices, or segments of one slice.
+    ``start`` counts the ids of all documents before it. The files are read
+    once, into a written table of narrow rows. Offsets add up in two levels,
+    per slice and per segment inside a slice, so no window holds more rows than
+    slices, or segments of one slice.
     """
-    heads = _read(spark, folder, _segment_row, "part int, number int, ids long")
+    docs = durable(_read(spark, folder, _document_rows,
+                         "part int, number int, doc_id long, offset long, n_tokens long, ids_crc32 long"), "token-documents")
+    heads = docs.groupBy("part", "number").agg(F.sum("n_tokens").alias("ids"))
     before = F.sum("ids").over(Window.partitionBy("part").orderBy("number")) - F.col("ids")
     totals = heads.groupBy("part").agg(F.sum("ids").alias("of_part"))
     running = F.sum("of_part").over(Window.orderBy("part")) - F.col("of_part")
     base = (heads.withColumn("inside", before).join(totals.withColumn("outside", running), "part")
             .select("part", "number", (F.col("inside") + F.col("outside")).alias("base")))
-    docs = _read(spark, folder, _document_rows,
-                 "part int, number int, doc_id long, offset long, n_tokens long, ids_crc32 long")
     return (docs.join(base, ["part", "number"])
             .select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"))
