@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from wardlens.llm import (bpe, common, fingerprints, jaccard, mixing, rules, sharding, sitequality, stats, tokenbin, toxicity,
-                          warc)
+from wardlens.llm import (bpe, common, fingerprints, jaccard, linkage, mixing, rules, sharding, sitequality, stats, tokenbin,
+                          toxicity, warc)
 from wardlens.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +92,46 @@ def test_jaccard_blocks(spark, monkeypatch):
     assert {i: n for i, _, n, _ in whole} == links
 
 
+@pytest.mark.parametrize("hubs", [0, 3, 64])
+def test_large_groups_are_linked_whole(spark, monkeypatch, hubs):
+    """Classes do not depend on blocks and hubs: a crowd, a chain that only neighbours link, and strays."""
+    crowd = [" ".join(f"w{j}" for j in range(100) if j != i % 40) for i in range(90)]
+    chain = [" ".join(f"c{j}" for j in range(10 * i, 10 * i + 200)) for i in range(30)]
+    rows = list(enumerate([*crowd, *chain, "a stray text of six words", *crowd[:3], None, ""]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r["doc_id"]: r["class_id"] for r in jaccard.join(docs).collect()}
+    kept = {r["doc_id"] for r in jaccard.representatives(docs).collect()}
+    assert kept == set(whole.values()) and len(kept) == 4
+    monkeypatch.setattr(jaccard, "_CLASS_BLOCK", 7)
+    monkeypatch.setattr(jaccard, "_NODE_BLOCK", 5)
+    monkeypatch.setattr(linkage, "HUBS", hubs)
+    assert {r["doc_id"]: r["class_id"] for r in jaccard.join(docs).collect()} == whole
+    assert {r["doc_id"] for r in jaccard.representatives(docs).collect()} == kept
+
+
+def test_second_pass_meets_what_hubs_leave_apart(spark):
+    """Rows alike by a shared digit: links that no block of its own holds are found, at work that grows with the group."""
+    rows = spark.range(3000).select(F.lit(1).alias("g"), F.encode(F.col("id").cast("string"), "utf-8").alias("node"),
+                                    F.lit(3000).alias("n"), F.lit(30).alias("blocks"))
+    cells = spark.sparkContext.accumulator(0)
+
+    def make():
+        def find(parts):
+            found = linkage.column(parts, "node")
+            cells.add(len(found))
+            key = [int(x) // 10 if int(x) < 200 else -1 for x in found]  # a crowd of 2,800 and 20 classes of ten
+            first = {}
+            return [(x, first[k]) for x, k in zip(found, key) if first.setdefault(k, x) != x]
+        return find
+
+    got = linkage.linked(rows, ["g"], lambda c: c, ["node"], make, "test").collect()
+    classes = {}
+    for r in got:
+        classes.setdefault(r["root"], set()).add(int(r["node"]))
+    assert sorted(map(sorted, classes.values())) == [*[list(range(10 * i, 10 * i + 10)) for i in range(20)], list(range(200, 3000))]
+    assert cells.value < 8 * 3000 + 64 * 60 + 200 * 60
+
+
 def test_prefix_length():
     x = jaccard.prefix_length()
     assert 1 - (1 - 0.8 ** x) ** jaccard.TREES >= jaccard.RECALL > 1 - (1 - 0.8 ** (x + 1)) ** jaccard.TREES

@@ -12,7 +12,7 @@ links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from fractions import Fraction
 
 import numpy as np
@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 
 from wardlens.functions.scalar import quoted
 from wardlens.llm.common import map_text
-from wardlens.llm.components import Forest, components
+from wardlens.llm.components import components
 from wardlens.llm.fingerprints import WordHashes
+from wardlens.llm.linkage import column, linked, runs
 from wardlens.session import durable
 
 GRAM, THRESHOLD = 5, 0.8
@@ -97,46 +98,19 @@ def signed(docs: DataFrame, key: str, text: str, gram: int) -> DataFrame:
                  F.first("grams").alias("grams"), F.first("sign").alias("sign")))
 
 
-def _cells(rows: DataFrame, blocks, by: str) -> DataFrame:
-    """Cut a large group into blocks, and send each row to every pair of blocks it is part of.
+def _cells(rows: DataFrame, by: str) -> DataFrame:
+    """Cut a large group into its ``blocks``, and send each row to every pair of blocks it is part of.
 
     A group of one block is one cell. Any two rows of a group meet in a cell,
     and no cell holds more than two blocks.
     """
     own = F.pmod(F.xxhash64(by), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-    return (rows.withColumn("blocks", F.greatest(F.lit(1), blocks)).withColumn("own", own).withColumn("other", other)
+    return (rows.withColumn("own", own).withColumn("other", other)
             .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
             .drop("blocks", "other"))
 
 
-def _groups(batches, keys: int) -> Iterator[list[pa.RecordBatch]]:
-    """Runs of rows equal in the first ``keys`` columns, of rows sorted by them."""
-    held, last = [], None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(i) for i in range(keys)]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            codes = c.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            change[1:] |= codes[1:] != codes[:-1]
-        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            value = tuple(c[a].as_py() for c in columns)
-            if last is not None and value != last:
-                yield held
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = value
-    if held:
-        yield held
-
-
-def _column(parts: Sequence[pa.RecordBatch], at: int) -> list:
-    return [v for p in parts for v in p.column(at).to_pylist()]
-
-
 def trie_links(signs: np.ndarray, labels: np.ndarray, shortest: int, alike: int) -> list[tuple[int, int]]:
     """Links among the texts of one trie node, rows sorted by label.
 
@@ -170,40 +144,25 @@ def trie_links(signs: np.ndarray, labels: np.ndarray, shortest: int, alike: int)
 
 
 def candidates(nodes: DataFrame, shortest: int) -> DataFrame:
-    """Links ``a, b`` between texts that share a trie node and look alike."""
+    """``node, root`` of the texts that chains of look-alikes in shared trie nodes join to others."""
     placed = (nodes.where("sign is not null").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
               .select("node", "tree", F.expr(f"substring(sign, tree * {2 * DEPTH} + 1, {2 * shortest})").alias("prefix")))
-    counted = (placed.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    shared = placed.join(counted, ["tree", "prefix"])
-    members = shared.join(nodes.select("node", "sign"), "node")
-    cells = (_cells(members, F.ceil(F.col("n") / _NODE_BLOCK), "node")
-             .withColumn("label", F.expr(f"substring(sign, tree * {2 * DEPTH} + 1, {2 * DEPTH})"))
-             .select("tree", "prefix", "x", "y", "label", "node", "sign")
-             .repartition("tree", "prefix", "x", "y").sortWithinPartitions("tree", "prefix", "x", "y", "label", "node"))
+    shared = durable(placed.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                     .withColumn("blocks", F.ceil(F.col("n") / _NODE_BLOCK)), "jaccard-shared")
+    signs = nodes.select("node", "sign")
     alike = int(np.ceil(_LOOKS_ALIKE * TREES * DEPTH))
 
-    def run(batches):
-        forest, seen = Forest(), 0
-        for parts in _groups(batches, 4):
-            found = _column(parts, 5)
-            if len(found) < 2:
-                continue
-            signs = np.frombuffer(b"".join(_column(parts, 6)), np.uint16).reshape(len(found), -1)
-            labels = np.frombuffer(b"".join(_column(parts, 4)), np.uint16).reshape(len(found), -1)
-            for i, j in trie_links(signs, labels, shortest, alike):
-                forest.union(found[i], found[j])
-                seen += 1
-            if seen >= 100_000:
-                yield _pairs(forest.links())
-                forest, seen = Forest(), 0
-        yield _pairs(forest.links())
+    def find(parts):
+        found = column(parts, "node")
+        signs = np.frombuffer(b"".join(column(parts, "sign")), np.uint16).reshape(len(found), -1)
+        labels = np.frombuffer(b"".join(column(parts, "label")), np.uint16).reshape(len(found), -1)
+        return [(found[i], found[j]) for i, j in trie_links(signs, labels, shortest, alike)]
 
-    return cells.mapInArrow(run, "a binary, b binary")
+    def attach(cells):
+        return cells.join(signs, "node").withColumn("label", F.expr(f"substring(sign, tree * {2 * DEPTH} + 1, {2 * DEPTH})"))
 
-
-def _pairs(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()),
-                                       pa.array([x[1] for x in links], pa.binary())], ["a", "b"])
+    return linked(placed.join(shared, ["tree", "prefix"]), ["tree", "prefix"], attach, ["label", "node"], lambda: find,
+                  "rough", large=not shared.where("blocks > 1").isEmpty())
 
 
 def shared_counts(sets: Sequence[np.ndarray]) -> np.ndarray:
@@ -250,28 +209,35 @@ def similar(sets: Sequence[np.ndarray], threshold: float) -> np.ndarray:
     return near
 
 
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    """Every distinct text once, copies folded by task before the shuffle."""
+    return (docs.select(_text_key(quoted(text)).alias("node"), quoted(text).alias("text"))
+            .groupBy("node").agg(F.first("text").alias("text")))
+
+
+def _sizes(members: DataFrame) -> DataFrame:
+    """``of, n, blocks`` of each class of several texts: how many, and how many blocks to cut it into."""
+    blocks = F.greatest(F.ceil(F.col("n") / _CLASS_BLOCK), F.ceil(F.col("total") / _SHINGLE_BLOCK))
+    return (members.groupBy(F.col("root").alias("of")).agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("total"))
+            .where("n > 1").select("of", "n", blocks.alias("blocks")))
+
+
 def verified(docs: DataFrame, text: str, members: DataFrame, threshold: float, gram: int) -> DataFrame:
     """``node, links, peer`` for members of candidate classes: exact links by cell, and the least node they reach there.
 
-    ``members`` has ``node, root, copies, grams``. Each text travels once,
-    copies folded by task before the shuffle; a class of many or long texts is
-    cut into blocks.
+    ``members`` has ``node, root, copies, grams``. Each text travels once; a
+    class of many or long texts is cut into blocks.
     """
-    texts = (docs.select(_text_key(quoted(text)).alias("node"), quoted(text).alias("text"))
-             .groupBy("node").agg(F.first("text").alias("text")))
-    sizes = (members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("total"))
-             .where("n > 1").withColumnRenamed("root", "of"))
-    wanted = members.join(sizes, F.col("root") == F.col("of")).drop("of")
-    blocks = F.greatest(F.ceil(F.col("n") / _CLASS_BLOCK), F.ceil(F.col("total") / _SHINGLE_BLOCK))
-    cells = (_cells(texts.join(wanted, "node"), blocks, "node").select("root", "x", "y", "own", "node", "copies", "text")
+    wanted = members.join(_sizes(members), F.col("root") == F.col("of")).drop("of")
+    cells = (_cells(_texts(docs, text).join(wanted, "node"), "node").select("root", "x", "y", "own", "node", "copies", "text")
              .repartition("root", "x", "y").sortWithinPartitions("root", "x", "y", "node"))
 
     def run(batches):
         hashes = WordHashes()
         out: list[tuple[bytes, int, bytes]] = []
-        for parts in _groups(batches, 3):
-            found, copies, own = _column(parts, 4), np.array(_column(parts, 5), np.int64), np.array(_column(parts, 3))
-            near = similar([shingles(t.encode("utf-8", "surrogatepass"), hashes, gram) for t in _column(parts, 6)], threshold)
+        for parts in runs(batches, 3):
+            found, copies, own = column(parts, 4), np.array(column(parts, 5), np.int64), np.array(column(parts, 3))
+            near = similar([shingles(t.encode("utf-8", "surrogatepass"), hashes, gram) for t in column(parts, 6)], threshold)
             if own.min() != own.max():  # two blocks: each meets itself elsewhere
                 near &= own[:, None] != own
             elif parts[0].column(1)[0].as_py() != parts[0].column(2)[0].as_py():
@@ -286,6 +252,25 @@ def verified(docs: DataFrame, text: str, members: DataFrame, threshold: float, g
     return cells.mapInArrow(run, "node binary, links long, peer binary")
 
 
+def connected(docs: DataFrame, text: str, members: DataFrame, threshold: float, gram: int) -> DataFrame:
+    """``node, root`` of the members that chains of true links join to others, without counts of links."""
+    sizes = durable(_sizes(members), "jaccard-sizes")
+    rows = members.join(sizes, F.col("root") == F.col("of")).select(F.col("of").alias("class"), "node", "n", "blocks")
+
+    def make():
+        hashes = WordHashes()
+
+        def find(parts):
+            found = column(parts, "node")
+            near = similar([shingles(t.encode("utf-8", "surrogatepass"), hashes, gram) for t in column(parts, "text")], threshold)
+            return [(a, found[i]) for a, i in zip(found, _reached(near)) if a != found[i]]
+
+        return find
+
+    return linked(rows, ["class"], lambda cells: _texts(docs, text).join(cells, "node"), ["node"], make, "exact",
+                  large=not sizes.where("blocks > 1").isEmpty())
+
+
 def _reached(near: np.ndarray) -> list[int]:
     """Per row the first row of its component."""
     peer = [-1] * len(near)
@@ -306,21 +291,25 @@ def _link_rows(rows: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:
 
 
 def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
-            gram: int = GRAM, recall: float = RECALL) -> DataFrame:
+            gram: int = GRAM, recall: float = RECALL, counted: bool = True) -> DataFrame:
     """One row per distinct text: ``node, copies, least, root, class_id, links``.
 
     ``node`` is the text's digest, ``least`` its least key, ``root`` the least
     node of its class, ``class_id`` the least key of the class, ``links`` the
-    number of rows with another text that is similar.
+    number of rows with another text that is similar, null unless ``counted``.
     """
     nodes = durable(signed(docs, key, text, gram), "jaccard-nodes")
-    rough = components(durable(candidates(nodes, prefix_length(threshold, recall=recall)), "jaccard-candidates"), "rough")
+    rough = candidates(nodes, prefix_length(threshold, recall=recall))
     members = durable(rough.join(nodes.select("node", "copies", "grams"), "node"), "jaccard-members")
-    links = durable(verified(docs, text, members, threshold, gram), "jaccard-links")
-    roots = components(links.where(F.col("links") > 0).select(F.col("node").alias("a"), F.col("peer").alias("b")), "exact")
-    counts = links.groupBy("node").agg(F.sum("links").alias("links"))
-    all_nodes = (nodes.drop("sign", "grams").join(counts, "node", "left").join(roots, "node", "left")
-                 .withColumn("root", F.coalesce("root", "node")).withColumn("links", F.coalesce("links", F.lit(0))))
+    if counted:
+        links = durable(verified(docs, text, members, threshold, gram), "jaccard-links")
+        roots = components(links.where(F.col("links") > 0).select(F.col("node").alias("a"), F.col("peer").alias("b")), "exact")
+        counts = links.groupBy("node").agg(F.sum("links").alias("links"))
+        known = nodes.join(counts, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+    else:
+        roots, known = connected(docs, text, members, threshold, gram), nodes.withColumn("links", F.lit(None).cast("long"))
+    all_nodes = (known.drop("sign", "grams").join(roots, "node", "left")
+                 .withColumn("root", F.coalesce("root", "node")))
     ids = all_nodes.groupBy("root").agg(F.min("least").alias("class_id"))
     return all_nodes.join(ids, "root")
 
@@ -351,7 +340,7 @@ def representatives(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     Null keys come last; among rows of the least key and text one stays.
     """
-    found = classes(docs, key=key, text=text, threshold=threshold, gram=gram, recall=recall)
+    found = classes(docs, key=key, text=text, threshold=threshold, gram=gram, recall=recall, counted=False)
     place = F.struct(F.col("least").isNull(), F.col("least"), F.col("node"))
     kept = found.groupBy("root").agg(F.min_by("node", place).alias("__node"), F.min_by("least", place).alias("__least"))
     kept = durable(kept.select("__node", "__least"), "jaccard-kept")
