@@ -7,8 +7,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from bindings import modelling
-from wardlens.operators import models, trees
-from wardlens.session import durable, spread
+from wardlens.operators import models, search, trees
+from wardlens.session import durable, side_by_side, spread
 
 
 def test_tasks_follow_the_work_of_a_row(spark):
@@ -41,3 +41,27 @@ def test_structure_fits_run_side_by_side(spark, monkeypatch):
         trees=[leaf] * preset.max_depth, weights=(1.0, preset.learning_rate)))
     got = {r["preset"]: r["trees"] for r in modelling.q_boosted_structure(spark, "nowhere").collect()}
     assert got == {"a": models.BOOSTED_A.max_depth, "b": models.BOOSTED_B.max_depth}
+
+
+def test_fits_side_by_side_share_the_cores(spark, monkeypatch, tmp_path):
+    """A trial's table has no more tasks than its part of the cores, and all its rows."""
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    rows = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("y"), F.col("id").cast("double").alias("x"), F.lit(1.0).alias("w"))
+    monkeypatch.setattr(search, "training_vectors", lambda *args: durable(rows.repartition(2 * cores), "vectors").repartition(2 * cores))
+    real = search.fit_boosted
+
+    def fit(*args, vectors):
+        seen.append((vectors.rdd.getNumPartitions(), sorted(r["id"] for r in vectors.collect())))
+        return real(*args)
+
+    monkeypatch.setattr(search, "fit_boosted", fit)
+    trials = search.sample_trials(spark.range(2).toDF("trial"), {**search.SPACES["lgb"], "n_estimators": search.IntRange(1, 2), "max_depth": search.IntRange(1, 2)})
+    out = search.run_trials(trials, rows, rows, ["x"], "y", "w", "id", ledger=str(tmp_path / "l")).collect()
+    assert len(out) == 2 and seen == [(-(-cores // 2), list(range(40)))] * 2
+
+
+def test_large_tables_keep_their_tasks(spark):
+    table = spark.range(0, 1000, 1, 8)
+    assert side_by_side(table, 1, 8 * spark.sparkContext.defaultParallelism).rdd.getNumPartitions() == 1
+    assert side_by_side(table, 20_000, 10_000).rdd.getNumPartitions() == 4
+    assert side_by_side(table, 10 ** 9, 10_000).rdd.getNumPartitions() == 8
