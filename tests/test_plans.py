@@ -15,6 +15,7 @@ from wardlens.operators.features import derive_features
 from wardlens.operators.models import BoostPreset, load_model, score
 from wardlens.operators.search import FloatRange, IntRange
 from wardlens.operators.split import feature_names, temporal_halves, temporal_split
+from wardlens.plans import train
 from wardlens.plans.prepare import (
     COMPAT, Prepare, code_columns, code_values, first_encounters, run_features, run_prepare,
     run_preprocess,
@@ -181,6 +182,21 @@ def test_train_all(spark, featured, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/importance/boosted_b").count() == 10
 
 
+def test_train_all_fits_share_the_cores(spark, featured, monkeypatch):
+    parts, fit, vectors = [], train.fit_boosted, train.training_vectors
+
+    def spy(*args):
+        parts.append(args[6].rdd.getNumPartitions())
+        return fit(*args)
+
+    monkeypatch.setattr(train, "training_vectors", lambda *args: session.durable(vectors(*args).repartition(64), "many"))
+    monkeypatch.setattr(train, "fit_boosted", spy)
+    presets = {"boosted_a": BoostPreset(rounds=2, max_depth=2), "boosted_b": BoostPreset(rounds=2, max_depth=2)}
+    train_all(featured, presets, attribute=False, max_iter=5)
+    share = -(-spark.sparkContext.defaultParallelism // 3)
+    assert len(parts) == 2 and max(parts) <= share
+
+
 def test_train_all_with_oversampling_and_test_watching(spark, featured):
     presets = {"boosted_a": BoostPreset(rounds=3, max_depth=2, patience=1)}
     for before in (False, True):
